@@ -19,19 +19,18 @@ from entitymart.operators.lookup import MAX_BROADCAST_BYTES, lookup_join, total_
 from entitymart.operators.ordering import ORD
 
 
-def phrases(tokens: Column, sizes: list[int]) -> Column:
-    """Distinct runs of ``k`` words, for each ``k`` in ``sizes``."""
+def phrases(text: Column, sizes: list[int]) -> Column:
+    """Runs of ``k`` words of a normalised text, for each ``k`` in ``sizes``.
+
+    The pattern looks ahead from each word start, so runs overlap and the text
+    is walked once per size.
+    """
 
     def runs(k: int) -> Column:
-        if k == 1:
-            return tokens
-        found = F.transform(
-            F.sequence(F.lit(1), F.size(tokens) - (k - 1)),
-            lambda i: F.array_join(F.slice(tokens, i, k), " "),
-        )
-        return F.when(F.size(tokens) >= k, found).otherwise(F.array().cast("array<string>"))
+        more = f"(?: [^ ]+){{{k - 1}}}" if k > 1 else ""
+        return F.regexp_extract_all(text, F.lit(f"(?<![^ ])(?=([^ ]+{more})(?![^ ]))"), F.lit(1))
 
-    return F.array_distinct(F.concat(*[runs(k) for k in sizes]))
+    return F.concat(*[runs(k) for k in sizes])
 
 
 def longest_mentions(
@@ -40,21 +39,29 @@ def longest_mentions(
     """The longest name in each text, the earliest entity among equals.
 
     ``texts`` has ``_ord`` (unique), ``text`` and further columns, which are
-    kept; ``names`` has one row per ``normalizedName``.
+    kept; ``names`` has one row per ``normalizedName``. While the names fit a
+    broadcast, phrases are matched in the task that reads the text and only hits
+    are shuffled. Beyond that each distinct phrase travels with nothing but the
+    record's order, salted, and the other columns are joined to the winners.
     """
     lookup = names.select("normalizedName", "entityId", "entityName", "entityType", "position")
     n_words = F.size(F.split("normalizedName", " "))
     size, sizes = lookup.agg(total_bytes(lookup), F.collect_set(n_words)).first()
-    carried = [c for c in texts.columns if c != "text"]
-    tokens = F.split(match_key(F.col("text")), " ")
-    grams = texts.select(
-        *carried, F.explode(phrases(tokens, sorted(sizes) or [1])).alias("normalizedName")
+    small = size <= limit
+    carried = [c for c in texts.columns if c not in (ORD, "text")]
+    # the normalised text is a column of its own, so that it is made once per record
+    normal = texts.select(ORD, *carried, match_key(F.col("text")).alias("_text"))
+    found = phrases(F.col("_text"), sorted(sizes) or [1])
+    grams = normal.select(
+        ORD,
+        *(carried if small else []),
+        F.explode(found if small else F.array_distinct(found)).alias("normalizedName"),
     )
-    hits = lookup_join(grams, lookup, ["normalizedName"], [ORD], small=size <= limit)
+    hits = lookup_join(grams, lookup, ["normalizedName"], [ORD], small=small)
     rank = F.struct(F.length("normalizedName").alias("len"), (-F.col("position")).alias("pos"))
     kept = [c for c in hits.columns if c != ORD]
-    best = hits.groupBy(ORD).agg(F.max_by(F.struct(*kept), rank).alias("_hit"))
-    return best.select(ORD, "_hit.*")
+    best = hits.groupBy(ORD).agg(F.max_by(F.struct(*kept), rank).alias("_hit")).select(ORD, "_hit.*")
+    return best if small else texts.drop("text").join(best, ORD)
 
 
 def link_mentions(

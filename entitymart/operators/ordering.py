@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ORD = "_ord"
+ONE_TASK_ROWS = 200_000
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
@@ -42,13 +43,16 @@ def _buckets(df: DataFrame) -> tuple[Column, Column]:
     return F.shiftright(F.col(ORD), 40), F.shiftright(F.col(ORD), 20)
 
 
-def with_position(df: DataFrame, name: str = "position") -> DataFrame:
-    """Dense 1-based row number by ``_ord``, without one global sort.
+def with_position(df: DataFrame, name: str = "position", one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+    """Dense 1-based row number by ``_ord``.
 
-    Rows are counted per bucket, bucket counts are summed up in order, and rows
-    are numbered inside their bucket. Only the outer bucket table (one row per
-    2**40 order values, or per file) is handled as a whole.
+    The rows are counted first. Up to ``one_task_rows`` they are numbered in one
+    task. Beyond that rows are counted per bucket, bucket counts are summed up in
+    order, and rows are numbered inside their bucket; only the outer bucket table
+    (one row per 2**40 order values, or per file) is then handled as a whole.
     """
+    if df.select(ORD).limit(one_task_rows + 1).count() <= one_task_rows:
+        return df.withColumn(name, F.row_number().over(W.orderBy(ORD)).cast("bigint"))
     outer, inner = _buckets(df)
     rows = df.select("*", outer.alias("_outer"), inner.alias("_inner"))
     counts = rows.groupBy("_outer", "_inner").agg(F.count(F.lit(1)).alias("_n"))

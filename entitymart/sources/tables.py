@@ -78,8 +78,18 @@ def write_if_any(df: DataFrame, write) -> bool:
     return True
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, spread: str | None = None) -> DataFrame:
+    """Parquet table. ``spread`` names a column to hash a small table by.
+
+    A table of a few scan tasks may sit in a single row group, which one task
+    then reads and works on alone. It is small, so moving it is cheap; a table
+    of more scan tasks than that is read where it lies.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and df.rdd.getNumPartitions() <= 2 * cores:
+        return df.repartition(cores, spread)
+    return df
 
 
 def flat_product(df: DataFrame) -> DataFrame:

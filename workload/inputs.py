@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from entitymart import fixed
 from entitymart.operators.ordering import ORD
+from entitymart.sources.tables import read_parquet
 
 JOBS_AS_OF = datetime(1998, 10, 3, tzinfo=timezone.utc)
 NEWS_AS_OF = datetime(2024, 1, 30, tzinfo=timezone.utc)
@@ -22,6 +23,9 @@ AGAIN, NAMELESS, PASSAGES = 1_000_000_000, 500_000_000, 2_000_000_000
 ORGANIZATIONS = [*fixed.KNOWN_SITES, *fixed.ORGANIZATION_ALIASES, "unknown lab"]
 CONFIDENCES = ["0.5", " 1 ", "1.5", "-0.1", "abc", "", "NaN", "0.2_5", "1_0", "0.5d", "inf", "1e-3"]
 
+# Tables of long texts, with the key to spread them by.
+WORDY = {"documents": "doc_id", "pages": "page_id"}
+
 text = F.concat
 lit = F.lit
 
@@ -57,7 +61,7 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet", spread=WORDY.get(name))
 
     @cached_property
     def startups(self) -> DataFrame:
