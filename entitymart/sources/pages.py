@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entitymart import fixed
 from entitymart.functions.dates import instant
 from entitymart.functions.html import decode_entities, visible_text
 from entitymart.functions.rules import pricing_model
-from entitymart.functions.text import collapse, is_filled
+from entitymart.functions.text import collapse, is_filled, is_present
 from entitymart.operators import dedup
 from entitymart.operators.lookup import lookup_join
 from entitymart.operators.ordering import ORD, first_rows
@@ -46,25 +46,32 @@ def _startups(links: DataFrame, as_of: datetime) -> DataFrame:
     return dedup.by_source_url(rows)
 
 
+def _path() -> Column:
+    return F.split_part("href", F.lit("?"), F.lit(1))
+
+
+def is_company_link() -> Column:
+    """A company's page: named, below the directory, and no navigation link."""
+    return (
+        F.startswith(_path(), F.lit("/companies/"))
+        & (F.regexp_replace(_path(), "/+$", "") != "/companies")
+        & is_present(F.col("name"))
+        & ~F.lower(collapse(F.col("name"))).isin(fixed.NAVIGATION)
+    )
+
+
 def startups(links: DataFrame, as_of: datetime) -> DataFrame:
     """Startup records, the last link per company; navigation links are left out
     and trailing slashes cut."""
-    path = F.split_part("href", F.lit("?"), F.lit(1))
-    rows = links.select(ORD, collapse(F.col("name")).alias("name"), path.alias("path"))
-    kept = rows.filter(
-        F.startswith("path", F.lit("/companies/"))
-        & (F.regexp_replace("path", "/+$", "") != "/companies")
-        & is_filled(F.col("name"))
-        & ~F.lower("name").isin(fixed.NAVIGATION)
-    )
-    return _startups(kept.withColumn("path", F.regexp_replace("path", "/+$", "")), as_of)
+    path = F.regexp_replace(_path(), "/+$", "")
+    kept = links.filter(is_company_link())
+    return _startups(kept.select(ORD, collapse(F.col("name")).alias("name"), path.alias("path")), as_of)
 
 
 def startups_plain(links: DataFrame, as_of: datetime) -> DataFrame:
     """As ``startups``, with trailing slashes kept and only the directory itself left out."""
-    path = F.split_part("href", F.lit("?"), F.lit(1))
-    rows = links.select(ORD, collapse(F.col("name")).alias("name"), path.alias("path"))
-    return _startups(rows.filter((F.col("path") != "/companies/") & is_filled(F.col("name"))), as_of)
+    kept = links.filter((_path() != "/companies/") & is_present(F.col("name")))
+    return _startups(kept.select(ORD, collapse(F.col("name")).alias("name"), _path().alias("path")), as_of)
 
 
 def products(
