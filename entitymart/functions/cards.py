@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from entitymart.fixed import PROMPT_LONG, PROMPT_SHORT
-from entitymart.functions.text import blank_if_null, collapse, strip
+from entitymart.functions.text import blank_if_null, collapse, let, strip
 
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 SIZE = 500
@@ -24,22 +24,31 @@ def _paragraph(lines: Column, skips, ends) -> Column:
     def keeps(line: Column) -> Column:
         return (line != "") & ~skips(line)
 
-    start = F.array_position(F.transform(lines, keeps), F.lit(True)).cast("int")
-    tail = F.slice(lines, start, F.size(lines))
-    stop = F.array_position(F.transform(tail, ends), F.lit(True)).cast("int")
-    body = F.when(stop > 0, F.slice(tail, 1, stop - 1)).otherwise(tail)
-    return F.when(start > 0, F.filter(body, keeps)).otherwise(F.array().cast("array<string>"))
+    def place(found: Column, test) -> Column:
+        return F.array_position(F.transform(found, test), F.lit(True)).cast("int")
+
+    def until_end(tail: Column) -> Column:
+        body = let(place(tail, ends), lambda n: F.when(n > 0, F.slice(tail, 1, n - 1)).otherwise(tail))
+        return F.filter(body, keeps)
+
+    def from_start(found: Column) -> Column:
+        none = F.array().cast("array<string>")
+        tail = lambda n: let(F.slice(found, n, F.size(found)), until_end)
+        return let(place(found, keeps), lambda n: F.when(n > 0, tail(n)).otherwise(none))
+
+    return let(lines, from_start)
 
 
 def card_description(readme: Column) -> Column:
     """First paragraph after the front matter, headings and images skipped."""
-    text = strip(blank_if_null(readme))
-    parts = F.split(text, "---", 3)
-    body = F.when(
-        F.startswith(text, F.lit("---")) & (F.size(parts) >= 3), strip(F.get(parts, F.lit(2)))
-    ).otherwise(text)
+
+    def body(text: Column) -> Column:
+        after = lambda parts: F.when(F.size(parts) >= 3, strip(F.get(parts, F.lit(2)))).otherwise(text)
+        front = F.startswith(text, F.lit("---"))
+        return F.when(front, let(F.split(text, "---", 3), after)).otherwise(text)
+
     lines = _paragraph(
-        _lines(body),
+        _lines(let(strip(blank_if_null(readme)), body)),
         skips=lambda x: F.startswith(x, F.lit("#")) | F.startswith(x, F.lit("![")),
         ends=lambda x: x == "",
     )

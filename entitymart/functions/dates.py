@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from entitymart.functions.text import strip
+from entitymart.functions.text import let, strip
 
 # Freshness window and the zone names of mail dates.
 FRESH_FOR = timedelta(hours=24)
@@ -51,13 +51,17 @@ def parse_iso(c: Column) -> Column:
     text = F.regexp_replace(text, r":(?=$|[.,+-])", ":00")
     text = F.regexp_replace(text, r",(?=\d)", ".")
     text = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    zoned = (
-        F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
-        .when(F.substring(text, 11, 40).rlike(r"[+-]"), text)
-        .otherwise(F.concat(text, F.lit("Z")))
-    )
-    hour_only = F.regexp_replace(zoned, r"^(.{10}[T ]\d{2})(?=$|[+Z-])", "$1:00")
-    return F.when(c.rlike(r"^\d{4}") & text.rlike(ISO), hour_only.try_cast("timestamp"))
+
+    def cast(t: Column) -> Column:
+        zoned = (
+            F.when(F.length(t) == 10, F.concat(t, F.lit("T00:00:00Z")))
+            .when(F.substring(t, 11, 40).rlike(r"[+-]"), t)
+            .otherwise(F.concat(t, F.lit("Z")))
+        )
+        hour_only = F.regexp_replace(zoned, r"^(.{10}[T ]\d{2})(?=$|[+Z-])", "$1:00")
+        return F.when(t.rlike(ISO), hour_only.try_cast("timestamp"))
+
+    return F.when(c.rlike(r"^\d{4}"), let(text, cast))
 
 
 def parse_mail(c: Column) -> Column:
@@ -83,8 +87,7 @@ def parse_age(c: Column, as_of: Column) -> Column:
 
 def parse_date(c: Column, as_of: Column) -> Column:
     """ISO, else mail date, else relative age, else null."""
-    text = strip(c)
-    return F.coalesce(parse_iso(text), parse_mail(text), parse_age(text, as_of))
+    return let(strip(c), lambda t: F.coalesce(parse_iso(t), parse_mail(t), parse_age(t, as_of)))
 
 
 def is_fresh(ts: Column, as_of: datetime) -> Column:

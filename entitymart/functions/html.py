@@ -11,7 +11,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from entitymart.functions.text import blank_if_null, collapse
+from entitymart.functions.text import blank_if_null, collapse, let
 
 # Elements whose content is not text, and page furniture.
 NOT_TEXT = ["script", "style", "template"]
@@ -61,12 +61,11 @@ def decode_entities(c: Column) -> Column:
             )
         )
 
-    pieces = F.split(c, "&")
-    decoded = F.concat(
-        F.element_at(pieces, 1),
-        F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), piece), ""),
-    )
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+    def joined(pieces: Column) -> Column:
+        tail = F.transform(pieces, lambda p, n: F.when(n == 0, p).otherwise(piece(p)))
+        return F.array_join(tail, "")
+
+    return let(c, lambda t: F.when(F.contains(t, F.lit("&")), joined(F.split(t, "&"))).otherwise(t))
 
 
 def fragment_text(c: Column) -> Column:
@@ -77,14 +76,16 @@ def fragment_text(c: Column) -> Column:
 
 def article_text(html: Column) -> Column:
     """Text of the first article of a page, else of its paragraphs."""
-    page = without(blank_if_null(html), FURNITURE)
-    article = F.regexp_extract(page, r"(?is)<article(?:\s[^>]*)?>(.*?)(?:</article\s*>|\z)", 1)
-    paragraphs = F.array_join(
-        F.regexp_extract_all(page, F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)</p\s*>"), F.lit(1)), " "
-    )
-    chosen = F.when(page.rlike(r"(?i)<article(?:\s[^>]*)?>"), article).otherwise(paragraphs)
+
+    def chosen(page: Column) -> Column:
+        article = F.regexp_extract(page, r"(?is)<article(?:\s[^>]*)?>(.*?)(?:</article\s*>|\z)", 1)
+        paragraphs = F.array_join(
+            F.regexp_extract_all(page, F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)</p\s*>"), F.lit(1)), " "
+        )
+        return F.when(page.rlike(r"(?i)<article(?:\s[^>]*)?>"), article).otherwise(paragraphs)
+
     # the text is read as HTML a second time, so doubly escaped markup goes as well
-    return fragment_text(fragment_text(chosen))
+    return fragment_text(fragment_text(let(without(blank_if_null(html), FURNITURE), chosen)))
 
 
 def visible_text(html: Column) -> Column:

@@ -9,6 +9,16 @@ from pyspark.sql import functions as F
 SPACE = r"[\s\x1c-\x1f]"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once.
+
+    A column expression used twice is written twice into the plan, and costly
+    ones (parsing, long regular expressions) are then evaluated twice per row. A
+    lambda variable is bound to the value instead.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def match_key(c: Column) -> Column:
     """Lower-case ``[a-z0-9]`` words with single spaces; null gives ``""``."""
     return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", " "))

@@ -25,7 +25,9 @@ def _described(models: DataFrame, card_rows: DataFrame, model_id: Column, extrac
     found = dedup.keep_one(read, ["model_id"], "last").select(
         "model_id", extract(F.col("readme")).alias("found")
     )
-    return lookup_join(keyed, found.filter(is_filled(F.col("found"))), ["model_id"], [ORD], how="left")
+    # one description per model at most, so both sides are as large as the models:
+    # a plain join, in which adaptive execution broadcasts or splits as it measures
+    return keyed.join(found, "model_id", "left")
 
 
 def enriched_models(models: DataFrame, card_rows: DataFrame) -> DataFrame:

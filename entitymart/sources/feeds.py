@@ -7,13 +7,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entitymart import fixed
 from entitymart.functions.dates import instant, is_fresh, parse_date
 from entitymart.functions.html import article_text, fragment_text
-from entitymart.functions.text import blank_if_null, first_filled, is_present, strip
+from entitymart.functions.text import blank_if_null, first_filled, is_present, let, strip
 from entitymart.operators import dedup
 from entitymart.operators.lookup import lookup_join
 from entitymart.operators.ordering import ORD
@@ -32,31 +32,26 @@ def feed_items(feeds: DataFrame, as_of: datetime) -> DataFrame:
     XML that does not parse gives no rows. RSS items are looked for under the
     root and under its channels.
     """
-    empty = F.from_json(F.lit("[]"), f"array<{ITEM}>")
-    rss = F.from_xml("payload", RSS)
-    channels = F.flatten(F.transform(rss["channel"], lambda c: F.coalesce(c["item"], empty)))
-    items = F.concat(F.coalesce(rss["item"], empty), F.coalesce(channels, empty))
-    as_item = F.transform(
-        items,
-        lambda x: F.struct(
-            x["title"].alias("title"),
-            F.coalesce(first_filled(x["link"]), F.get(x["atom:link"], F.lit(0))["_href"]).alias("url"),
-            x["description"].alias("description"),
-            x["pubDate"].alias("date"),
-        ),
-    )
-    atom = F.from_xml("payload", ATOM, {"ignoreNamespace": "true"})["entry"]
-    as_entry = F.transform(
-        atom,
-        lambda x: F.struct(
-            x["title"].alias("title"),
-            F.get(x["link"], F.lit(0))["_href"].alias("url"),
-            x["summary"].alias("description"),
-            F.coalesce(x["published"], x["updated"]).alias("date"),
-        ),
+    none = F.from_json(F.lit("[]"), f"array<{ITEM}>")
+
+    def items_of(rss: Column) -> Column:
+        channels = F.flatten(F.transform(rss["channel"], lambda c: F.coalesce(c["item"], none)))
+        return F.concat(F.coalesce(rss["item"], none), F.coalesce(channels, none))
+
+    def as_item(x: Column) -> Column:
+        link = F.coalesce(first_filled(x["link"]), F.get(x["atom:link"], F.lit(0))["_href"])
+        return _item(x["title"], link, x["description"], x["pubDate"], as_of)
+
+    def as_entry(x: Column) -> Column:
+        link, date = F.get(x["link"], F.lit(0))["_href"], F.coalesce(x["published"], x["updated"])
+        return _item(x["title"], link, x["summary"], date, as_of)
+
+    entries = F.transform(F.from_xml("payload", ATOM, {"ignoreNamespace": "true"})["entry"], as_entry)
+    is_atom = F.contains("payload", F.lit(ATOM_NAMESPACE))
+    chosen = let(
+        F.transform(let(F.from_xml("payload", RSS), items_of), as_item),
+        lambda items: F.when(F.size(items) > 0, items).when(is_atom, entries),
     )
-    is_atom = (F.size(as_item) == 0) & F.contains("payload", F.lit(ATOM_NAMESPACE))
-    chosen = F.when(F.size(as_item) > 0, as_item).when(is_atom, as_entry)
     return feeds.select(
         "source_name", F.col(ORD).alias("_feed"), F.posexplode(chosen).alias("_pos", "item")
     ).select(
@@ -65,7 +60,16 @@ def feed_items(feeds: DataFrame, as_of: datetime) -> DataFrame:
         fragment_text(F.col("item.title")).alias("title"),
         strip(blank_if_null(F.col("item.url"))).alias("url"),
         fragment_text(F.col("item.description")).alias("description"),
-        parse_date(F.col("item.date"), instant(as_of)).alias("published"),
+        F.col("item.published").alias("published"),
+    )
+
+
+def _item(title: Column, url: Column, description: Column, date: Column, as_of: datetime) -> Column:
+    return F.struct(
+        title.alias("title"),
+        url.alias("url"),
+        description.alias("description"),
+        parse_date(date, instant(as_of)).alias("published"),
     )
 
 
@@ -88,7 +92,9 @@ def news(items: DataFrame, pages: DataFrame, as_of: datetime) -> DataFrame:
     fresh = items.filter(
         is_fresh(F.col("published"), as_of) & is_present(F.col("title")) & is_present(F.col("url"))
     )
-    joined = lookup_join(fresh, article_texts(pages, fresh), ["url"], [ORD], how="left")
+    # both sides can be large and the texts are wide: a plain join, in which
+    # adaptive execution broadcasts texts that turn out small and splits hot urls
+    joined = fresh.join(article_texts(pages, fresh), "url", "left")
     return joined.select(
         ORD,
         F.lit(fixed.SCHEMA_VERSION).alias("schemaVersion"),

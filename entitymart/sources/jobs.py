@@ -14,33 +14,27 @@ from pyspark.sql import functions as F
 from entitymart import fixed
 from entitymart.functions.dates import instant, is_fresh, parse_date, parse_iso
 from entitymart.functions.rules import role_family, role_family_wide
-from entitymart.functions.text import blank_if_null, first_filled, is_filled, strip
+from entitymart.functions.text import blank_if_null, first_filled, is_filled, let, strip
 from entitymart.operators import dedup
 from entitymart.operators.ordering import ORD
 
 
-def _get(name: str, kind: str = "string", of: str = "item") -> Column:
-    return F.try_variant_get(F.col(of), f"$.{name}", kind)
+def get(item: Column, name: str, kind: str = "string") -> Column:
+    return F.try_variant_get(item, f"$.{name}", kind)
 
 
-def array_items(payloads: DataFrame, path: str = "$") -> DataFrame:
+def array_items(payloads: DataFrame, fields, path: str = "$") -> DataFrame:
     """One row per object in a payload's JSON array; other elements, and
-    payloads that are no JSON or hold no such array, give nothing."""
-    items = F.try_variant_get(F.try_parse_json("payload"), path, "array<variant>")
-    rows = payloads.select(F.col(ORD).alias("_payload"), F.posexplode(items).alias("_pos", "item"))
-    return rows.filter(F.startswith(F.schema_of_variant("item"), F.lit("OBJECT"))).select(
-        F.struct("_payload", "_pos").alias(ORD), "item"
-    )
-
-
-def board_1_items(payloads: DataFrame) -> DataFrame:
-    """Source 1: the payload is an array of postings."""
-    return array_items(payloads)
+    payloads that are no JSON or hold no such array, give nothing.
 
-
-def board_2_items(payloads: DataFrame) -> DataFrame:
-    """Sources 2 and 3: an object with the array under ``jobs``."""
-    return array_items(payloads, "$.jobs")
+    ``fields(item)`` names the columns. They are made inside the array, so a
+    filter on a parsed date does not have the date parsed again.
+    """
+    items = F.try_variant_get(F.try_parse_json("payload"), path, "array<variant>")
+    is_object = lambda v: F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
+    row = lambda v: F.when(is_object(v), F.struct(*[c.alias(n) for n, c in fields(v).items()]))
+    rows = payloads.select(F.col(ORD).alias("_payload"), F.posexplode(F.transform(items, row)).alias("_pos", "_item"))
+    return rows.filter("_item is not null").select(F.struct("_payload", "_pos").alias(ORD), "_item.*")
 
 
 def _job(title: Column, company: Column, url: Column, published: Column, source: str, as_of) -> list[Column]:
@@ -58,44 +52,83 @@ def _job(title: Column, company: Column, url: Column, published: Column, source:
     ]
 
 
-def _truthy_number(value: Column) -> Column:
-    return F.nullif(value, F.lit(0.0))
+def _number(value: Column) -> Column:
+    """A JSON number other than zero, else null."""
+    is_number = F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    return F.when(is_number, F.nullif(F.try_variant_get(value, "$", "double"), F.lit(0.0)))
+
+
+def _stamp(value: Column, as_of: datetime) -> Column:
+    """Seconds since 1970, or text."""
+    text = F.try_variant_get(value, "$", "string")
+    return F.coalesce(F.timestamp_seconds(_number(value)), parse_date(text, instant(as_of)))
+
+
+def _is_truthy(value: Column) -> Column:
+    kind = F.schema_of_variant(value)
+    is_text = F.coalesce(kind == "STRING", F.lit(False)) & is_filled(F.try_variant_get(value, "$", "string"))
+    return is_text | _number(value).isNotNull()
+
+
+def board_1_items(payloads: DataFrame, as_of: datetime) -> DataFrame:
+    """Source 1: the payload is an array of postings, dated by ``date`` or else
+    ``epoch``; a number is seconds since 1970."""
+
+    def fields(item: Column) -> dict[str, Column]:
+        date, epoch = get(item, "date", "variant"), get(item, "epoch", "variant")
+        return {
+            "title": get(item, "position"),
+            "company": get(item, "company"),
+            "url": get(item, "url"),
+            "published": let(F.when(_is_truthy(date), date).otherwise(epoch), lambda v: _stamp(v, as_of)),
+        }
+
+    return array_items(payloads, fields)
+
+
+def board_2_items(payloads: DataFrame, as_of: datetime) -> DataFrame:
+    """Source 2: an object with postings under ``jobs``, dated by ``pubDate`` or else ``date``."""
+
+    def fields(item: Column) -> dict[str, Column]:
+        when = first_filled(get(item, "pubDate"), get(item, "date"))
+        return {
+            "title": get(item, "jobTitle"),
+            "company": get(item, "companyName"),
+            "url": get(item, "url"),
+            "published": parse_date(when, instant(as_of)),
+        }
+
+    return array_items(payloads, fields, "$.jobs")
+
+
+def board_3_items(payloads: DataFrame) -> DataFrame:
+    """Source 3: an object with postings under ``jobs``; fields trimmed."""
+
+    def fields(item: Column) -> dict[str, Column]:
+        trimmed = {n: strip(blank_if_null(get(item, n))) for n in ("title", "company_name", "url")}
+        return {
+            **trimmed,
+            "date": parse_iso(get(item, "publication_date")),
+            "category": blank_if_null(get(item, "category")),
+            "job_type": get(item, "job_type"),
+            "candidate_required_location": get(item, "candidate_required_location"),
+        }
+
+    return array_items(payloads, fields, "$.jobs")
 
 
 def board_1_jobs(payloads: DataFrame, as_of: datetime) -> DataFrame:
-    """Source 1: ``date`` or else ``epoch``; a number is seconds since 1970; a
-    relative url gets the site in front."""
-    url = _get("url")
-    kind = lambda name: F.coalesce(F.schema_of_variant(_get(name, "variant")), F.lit("VOID"))
-    is_number = lambda name: kind(name).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    seconds = lambda name: _truthy_number(F.when(is_number(name), _get(name, "double")))
-    text = lambda name: F.when(~is_number(name), parse_date(_get(name), instant(as_of)))
-    has_date = F.when(is_number("date"), seconds("date").isNotNull()).otherwise(is_filled(_get("date")))
-    at = lambda name: F.coalesce(F.timestamp_seconds(seconds(name)), text(name))
-    rows = board_1_items(payloads).select(
-        ORD,
-        _get("position").alias("title"),
-        _get("company").alias("company"),
-        F.when(F.startswith(url, F.lit("http")), url)
-        .otherwise(F.concat(F.lit(fixed.BOARD_SITE), url))
-        .alias("url"),
-        is_filled(url).alias("has_url"),
-        F.when(has_date, at("date")).otherwise(at("epoch")).alias("published"),
+    """Fresh postings of source 1; a relative url gets the site in front."""
+    rows = board_1_items(payloads, as_of).filter(is_filled(F.col("url")))
+    absolute = F.when(F.startswith("url", F.lit("http")), F.col("url")).otherwise(
+        F.concat(F.lit(fixed.BOARD_SITE), "url")
     )
-    return _finish(rows.filter("has_url"), fixed.BOARD_1, as_of)
+    return _finish(rows.withColumn("url", absolute), fixed.BOARD_1, as_of)
 
 
 def board_2_jobs(payloads: DataFrame, as_of: datetime) -> DataFrame:
-    """Source 2: ``pubDate`` or else ``date``."""
-    when = parse_date(first_filled(_get("pubDate"), _get("date")), instant(as_of))
-    rows = board_2_items(payloads).select(
-        ORD,
-        _get("jobTitle").alias("title"),
-        _get("companyName").alias("company"),
-        _get("url").alias("url"),
-        when.alias("published"),
-    )
-    return _finish(rows, fixed.BOARD_2, as_of)
+    """Fresh postings of source 2."""
+    return _finish(board_2_items(payloads, as_of), fixed.BOARD_2, as_of)
 
 
 def _finish(rows: DataFrame, source: str, as_of: datetime) -> DataFrame:
@@ -107,14 +140,7 @@ def _finish(rows: DataFrame, source: str, as_of: datetime) -> DataFrame:
 
 def board_3_jobs(payloads: DataFrame, as_of: datetime) -> DataFrame:
     """Source 3: trimmed fields, nested content, first posting per url."""
-    rows = board_2_items(payloads).select(
-        ORD,
-        *[strip(blank_if_null(_get(n))).alias(n) for n in ("title", "company_name", "url")],
-        parse_iso(_get("publication_date")).alias("date"),
-        blank_if_null(_get("category")).alias("category"),
-        _get("job_type").alias("job_type"),
-        _get("candidate_required_location").alias("candidate_required_location"),
-    )
+    rows = board_3_items(payloads)
     kept = rows.filter(
         is_filled(F.col("title")) & is_filled(F.col("url")) & is_fresh(F.col("date"), as_of)
     )

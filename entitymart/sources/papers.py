@@ -11,7 +11,7 @@ from entitymart import fixed
 from entitymart.functions.dates import instant
 from entitymart.functions.html import decode_entities, fragment_text
 from entitymart.functions.text import (
-    blank_if_null, collapse, is_filled, search_keywords, strip,
+    blank_if_null, collapse, search_keywords, strip,
 )
 from entitymart.functions.urls import repository_from_url, repository_in_text, repository_url
 from entitymart.operators import dedup
@@ -98,7 +98,8 @@ def best_repositories(results: DataFrame) -> DataFrame:
 def searched_papers(records: DataFrame, results: DataFrame, as_of: datetime) -> DataFrame:
     """Paper rows with the best repository found for the title's first words."""
     keyed = records.withColumn("keywords", search_keywords(F.col("title")))
-    joined = lookup_join(keyed, best_repositories(results), ["keywords"], [ORD], how="left")
+    # about one result per paper: a plain join, adaptive execution sees to size and skew
+    joined = keyed.join(best_repositories(results), "keywords", "left")
     return joined.select(
         ORD,
         F.lit(fixed.SCHEMA_VERSION).alias("schemaVersion"),

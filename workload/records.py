@@ -52,18 +52,12 @@ def as_shown(df, *times):
     sql(f"SELECT title, company, {URL_1.replace('https://remoteok.com', '')} AS url FROM jobs"),
 )
 def src3(i):
-    get = lambda n: F.try_variant_get("item", f"$.{n}", "string")
-    return jobs.board_1_items(i.board_1).select(
-        get("position").alias("title"), get("company").alias("company"), get("url").alias("url")
-    )
+    return jobs.board_1_items(i.board_1, JOBS_AS_OF).select("title", "company", "url")
 
 
 @query("src4_board_2_items", sql("SELECT title, company, source_url AS url FROM jobs"))
 def src4(i):
-    get = lambda n: F.try_variant_get("item", f"$.{n}", "string")
-    return jobs.board_2_items(i.board_2).select(
-        get("jobTitle").alias("title"), get("companyName").alias("company"), get("url").alias("url")
-    )
+    return jobs.board_2_items(i.board_2, JOBS_AS_OF).select("title", "company", "url")
 
 
 @query("prj1_board_1_jobs", sql(job_sql(fixed.BOARD_1, URL_1)))
