@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entitymart.operators.ordering import ORD, with_file_order
 from entitymart.schemas import columns, conform
@@ -85,13 +86,20 @@ def read_parquet(spark: SparkSession, path: str, spread: str | None = None) -> D
     then reads and works on alone. It is small, so moving it is cheap; a table
     of more scan tasks than that is read where it lies.
     """
-    df = spark.read.parquet(path)
+    df = spark.read.schema(as_instants(spark.read.parquet(path).schema)).parquet(path)
     cores = spark.sparkContext.defaultParallelism
     if spread and df.rdd.getNumPartitions() <= 2 * cores:
         return df.repartition(cores, spread)
     return df
 
 
+def as_instants(schema: T.StructType) -> T.StructType:
+    """The schema with zone-less time stamps read as UTC instants, so that a
+    comparison with an instant needs no cast and reaches the scan."""
+    kind = lambda t: T.TimestampType() if isinstance(t, T.TimestampNTZType) else t
+    return T.StructType([T.StructField(f.name, kind(f.dataType), f.nullable) for f in schema])
+
+
 def flat_product(df: DataFrame) -> DataFrame:
     """Nested product records as flat rows."""
     return df.select(

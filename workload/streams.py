@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from entitymart.operators import entities
 from entitymart.session import scratch_path
+from entitymart.sources.tables import as_instants
 from entitymart.streaming import intake
 from workload.company import ALL, LINK
 from workload.inputs import JOBS_AS_OF, Inputs
@@ -17,7 +18,7 @@ class Arriving(Inputs):
     """The same derived inputs, with every table read as a stream of files."""
 
     def table(self, name):
-        schema = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").schema
+        schema = as_instants(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").schema)
         reader = self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
         return reader.parquet(self.sf_dir)
 
