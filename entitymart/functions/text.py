@@ -20,8 +20,12 @@ def let(value: Column, body) -> Column:
 
 
 def match_key(c: Column) -> Column:
-    """Lower-case ``[a-z0-9]`` words with single spaces; null gives ``""``."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", " "))
+    """Lower-case ``[a-z0-9]`` words with single spaces; null gives ``""``.
+
+    The outer ``coalesce`` makes the result non-null for the optimizer, which
+    would otherwise add a null test, and so the expression once more, to a join.
+    """
+    return F.coalesce(F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " ")), F.lit(""))
 
 
 def strip(c: Column) -> Column:
@@ -31,7 +35,7 @@ def strip(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """Single spaces, none at the ends; null gives ``""``."""
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), rf"(?U){SPACE}+", " "))
+    return F.coalesce(F.trim(F.regexp_replace(c, rf"(?U){SPACE}+", " ")), F.lit(""))
 
 
 def is_present(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entitymart import fixed
-from entitymart.functions.text import blank_if_null, strip
+from entitymart.functions.text import blank_if_null, is_present, strip
 from entitymart.operators.ordering import ORD
 
 COUNTS = {
@@ -28,12 +28,12 @@ def entity_analytics(relationships: DataFrame) -> DataFrame:
     and combines map-side, and leaves a table of a few rows per entity from
     which the last name is taken.
     """
-    rows = relationships.select(
+    rows = relationships.filter(is_present(F.col("entityId"))).select(
         _stripped("entityId").alias("entityId"),
         _stripped("entityName").alias("entityName"),
         _stripped("relationshipType").alias("type"),
         ORD,
-    ).filter("entityId <> ''")
+    )
     named = rows.groupBy("entityId", "entityName").agg(
         *[F.count_if(F.col("type") == t).alias(n) for n, t in COUNTS.items()], F.max(ORD).alias("_seen")
     )
@@ -48,8 +48,8 @@ def entity_analytics(relationships: DataFrame) -> DataFrame:
 def relationship_counts(relationships: DataFrame) -> DataFrame:
     """Rows per relationship type, blank left out, sorted by type."""
     return (
-        relationships.select(_stripped("relationshipType").alias("relationshipType"))
-        .filter("relationshipType <> ''")
+        relationships.filter(is_present(F.col("relationshipType")))
+        .select(_stripped("relationshipType").alias("relationshipType"))
         .groupBy("relationshipType")
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy("relationshipType")

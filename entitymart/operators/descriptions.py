@@ -17,10 +17,11 @@ from entitymart.schemas import FAILED, MODELS_ENRICHED, columns
 
 def finished(progress: DataFrame) -> DataFrame:
     """Last finished description per url; rows lacking either are ignored."""
-    rows = progress.select(
-        ORD, *[strip(blank_if_null(F.col(c))).alias(c) for c in ("source_url", "description")]
+    both = is_present(F.col("source_url")) & is_present(F.col("description"))
+    rows = progress.filter(both).select(
+        ORD, *[strip(F.col(c)).alias(c) for c in ("source_url", "description")]
     )
-    return keep_one(rows.filter("description <> ''"), ["source_url"], "last").select(
+    return keep_one(rows, ["source_url"], "last", blank="keep").select(
         ORD, "source_url", "description"
     )
 

@@ -76,12 +76,15 @@ def link_by_name(
     as_of: datetime,
     limit: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Relationships of records whose name column equals an entity's name."""
+    """Relationships of records whose name column equals an entity's name.
+
+    The lookup has no blank name, so records without a name drop out in the join.
+    """
     facts = records.select(
         ORD,
         match_key(F.col(name)).alias("normalizedName"),
         blank_if_null(F.col("source_url")).alias("source_url"),
-    ).filter("normalizedName <> ''")
+    )
     lookup = name_lookup(entities).select("normalizedName", "entityId", "entityName", "entityType")
     joined = lookup_join(facts, lookup, ["normalizedName"], [ORD], limit=limit)
     return joined.select(

@@ -22,13 +22,14 @@ from entitymart.operators.ordering import ORD
 def phrases(text: Column, sizes: list[int]) -> Column:
     """Runs of ``k`` words of a normalised text, for each ``k`` in ``sizes``.
 
-    The pattern looks ahead from each word start, so runs overlap and the text
-    is walked once per size.
+    The pattern takes a run by looking ahead and then steps over one word, so
+    runs overlap and the text is walked once per size. Words are taken whole
+    (``++``), which rules out partial words and backtracking.
     """
 
     def runs(k: int) -> Column:
-        more = f"(?: [^ ]+){{{k - 1}}}" if k > 1 else ""
-        return F.regexp_extract_all(text, F.lit(f"(?<![^ ])(?=([^ ]+{more})(?![^ ]))"), F.lit(1))
+        more = f"(?: [^ ]++){{{k - 1}}}" if k > 1 else ""
+        return F.regexp_extract_all(text, F.lit(f"(?=([^ ]++{more}))[^ ]++"), F.lit(1))
 
     return F.concat(*[runs(k) for k in sizes])
 

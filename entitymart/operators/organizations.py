@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entitymart import fixed
-from entitymart.functions.text import blank_if_null, collapse, strip
+from entitymart.functions.text import blank_if_null, collapse, is_present, strip
 from entitymart.functions.urls import favicon, is_official_site, organization_key
 from entitymart.operators.dedup import keep_one
 from entitymart.operators.ordering import ORD
@@ -19,8 +19,9 @@ def organization_counts(models: DataFrame) -> DataFrame:
     Counted per spelling first, with numbers only, so it hashes and combines
     map-side; the few spellings of each name are merged after that.
     """
-    rows = models.select(ORD, collapse(F.col("organization")).alias("organization"))
-    spelled = rows.filter("organization <> ''").groupBy("organization").agg(
+    named = models.filter(is_present(F.col("organization")))
+    rows = named.select(ORD, collapse(F.col("organization")).alias("organization"))
+    spelled = rows.groupBy("organization").agg(
         F.count(F.lit(1)).alias("n"), F.min(ORD).alias("seen")
     )
     merged = spelled.groupBy(F.lower("organization").alias("key")).agg(
@@ -38,8 +39,9 @@ def organization_counts(models: DataFrame) -> DataFrame:
 
 def exact_organization_counts(models: DataFrame) -> DataFrame:
     """Models per organisation as spelled, with the place of the first one."""
-    rows = models.select(ORD, strip(blank_if_null(F.col("organization"))).alias("organization"))
-    return rows.filter("organization <> ''").groupBy("organization").agg(
+    named = models.filter(is_present(F.col("organization")))
+    rows = named.select(ORD, strip(F.col("organization")).alias("organization"))
+    return rows.groupBy("organization").agg(
         F.count(F.lit(1)).alias("model_count"), F.min(ORD).alias("seen")
     )
 
@@ -63,11 +65,11 @@ def distinct_organizations(models: DataFrame, approximate: bool = False) -> Data
 
 def organizations(models: DataFrame) -> DataFrame:
     """First model row per organisation after alias resolution."""
-    rows = models.select(
+    rows = models.filter(is_present(F.col("organization"))).select(
         ORD,
-        strip(blank_if_null(F.col("organization"))).alias("organization"),
+        strip(F.col("organization")).alias("organization"),
         strip(blank_if_null(F.col("source_url"))).alias("model_url"),
-    ).filter("organization <> ''")
+    )
     keyed = rows.withColumn("key", organization_key(F.col("organization")))
     return keep_one(keyed, ["key"], "first")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitymart import fixed
-from entitymart.functions.text import blank_if_null, collapse, is_filled, strip
+from entitymart.functions.text import blank_if_null, collapse, is_present, strip
 from entitymart.operators.ordering import ORD
 from entitymart.sources.tables import read_json
 
@@ -26,7 +26,7 @@ def most_downloaded(raw: DataFrame, n: int = TARGET) -> DataFrame:
 
 def models(raw: DataFrame) -> DataFrame:
     """Model records: organisation before the first slash, name after the last."""
-    rows = raw.withColumn("id", strip(blank_if_null(F.col("id")))).filter("id <> ''")
+    rows = raw.filter(is_present(F.col("id"))).withColumn("id", strip(F.col("id")))
     slash = F.contains("id", F.lit("/"))
     return rows.select(
         ORD,
@@ -43,7 +43,7 @@ def models(raw: DataFrame) -> DataFrame:
 def cleaned_models(rows: DataFrame) -> DataFrame:
     """White space collapsed in every field; rows without name or url dropped."""
     text = ["model_name", "organization", "source_url", "pipeline_tag", "library_name"]
-    clean = rows.select(
+    both = is_present(F.col("model_name")) & is_present(F.col("source_url"))
+    return rows.filter(both).select(
         ORD, *[collapse(F.col(c)).alias(c) for c in text], "downloads", "likes"
     )
-    return clean.filter(is_filled(F.col("model_name")) & is_filled(F.col("source_url")))
