@@ -19,19 +19,23 @@ from entitymart.operators.lookup import MAX_BROADCAST_BYTES, lookup_join, total_
 from entitymart.operators.ordering import ORD
 
 
-def phrases(text: Column, sizes: list[int]) -> Column:
-    """Runs of ``k`` words of a normalised text, for each ``k`` in ``sizes``.
+def windows(text: Column, n: int) -> Column:
+    """From each word of a normalised text, the run of up to ``n`` words.
 
     The pattern takes a run by looking ahead and then steps over one word, so
-    runs overlap and the text is walked once per size. Words are taken whole
-    (``++``), which rules out partial words and backtracking.
+    the text is walked once. Words are taken whole (``++``), which rules out
+    partial words and backtracking.
     """
+    return F.regexp_extract_all(text, F.lit(f"(?=([^ ]++(?: [^ ]++){{0,{n - 1}}}))[^ ]++"), F.lit(1))
 
-    def runs(k: int) -> Column:
-        more = f"(?: [^ ]++){{{k - 1}}}" if k > 1 else ""
-        return F.regexp_extract_all(text, F.lit(f"(?=([^ ]++{more}))[^ ]++"), F.lit(1))
 
-    return F.concat(*[runs(k) for k in sizes])
+def first_words(run: Column, k: int) -> Column:
+    return F.substring_index(run, " ", k)
+
+
+def phrases(run: Column, sizes: list[int]) -> Column:
+    """The runs of ``k`` words that a window starts with, for each ``k``."""
+    return F.array_distinct(F.array(*[first_words(run, k) for k in sizes]))
 
 
 def longest_mentions(
@@ -41,23 +45,31 @@ def longest_mentions(
 
     ``texts`` has ``_ord`` (unique), ``text`` and further columns, which are
     kept; ``names`` has one row per ``normalizedName``. While the names fit a
-    broadcast, phrases are matched in the task that reads the text and only hits
-    are shuffled. Beyond that each distinct phrase travels with nothing but the
-    record's order, salted, and the other columns are joined to the winners.
+    broadcast, all matching is done in the task that reads the text: windows
+    that do not start like any name are dropped by a semi-join, the others are
+    compared for each name size, and only hits are shuffled. Beyond that each
+    distinct phrase of a record travels with nothing but the record's order,
+    salted, and the other columns are joined to the winners.
     """
     lookup = names.select("normalizedName", "entityId", "entityName", "entityType", "position")
     n_words = F.size(F.split("normalizedName", " "))
-    size, sizes = lookup.agg(total_bytes(lookup), F.collect_set(n_words)).first()
-    small = size <= limit
+    size, found = lookup.agg(total_bytes(lookup), F.collect_set(n_words)).first()
+    small, sizes = size <= limit, sorted(found) or [1]
     carried = [c for c in texts.columns if c not in (ORD, "text")]
     # the normalised text is a column of its own, so that it is made once per record
     normal = texts.select(ORD, *carried, match_key(F.col("text")).alias("_text"))
-    found = phrases(F.col("_text"), sorted(sizes) or [1])
-    grams = normal.select(
-        ORD,
-        *(carried if small else []),
-        F.explode(found if small else F.array_distinct(found)).alias("normalizedName"),
-    )
+    runs = windows(F.col("_text"), sizes[-1])
+    if small:
+        starts = lookup.select(first_words(F.col("normalizedName"), sizes[0]).alias("_start")).distinct()
+        grams = (
+            normal.select(ORD, *carried, F.explode(runs).alias("_run"))
+            .withColumn("_start", first_words(F.col("_run"), sizes[0]))
+            .join(F.broadcast(starts), "_start", "left_semi")
+            .select(ORD, *carried, F.explode(phrases(F.col("_run"), sizes)).alias("normalizedName"))
+        )
+    else:
+        every = F.flatten(F.transform(runs, lambda run: phrases(run, sizes)))
+        grams = normal.select(ORD, F.explode(F.array_distinct(every)).alias("normalizedName"))
     hits = lookup_join(grams, lookup, ["normalizedName"], [ORD], small=small)
     rank = F.struct(F.length("normalizedName").alias("len"), (-F.col("position")).alias("pos"))
     kept = [c for c in hits.columns if c != ORD]
