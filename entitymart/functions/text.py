@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: what counts as white space (Unicode spaces and the four separators).
+# What counts as white space, as a pattern and as characters.
 SPACE = r"[\s\x1c-\x1f]"
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def let(value: Column, body) -> Column:
@@ -30,7 +35,7 @@ def match_key(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(c, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def collapse(c: Column) -> Column:
@@ -40,7 +45,7 @@ def collapse(c: Column) -> Column:
 
 def is_present(c: Column) -> Column:
     """Neither null nor only white space."""
-    return F.coalesce(c.rlike(rf"(?U)[^\s\x1c-\x1f]"), F.lit(False))
+    return F.coalesce(strip(c) != "", F.lit(False))
 
 
 def is_filled(c: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -9,9 +10,9 @@ from pyspark.sql import functions as F
 
 from entitymart import fixed
 from entitymart.functions.dates import instant
-from entitymart.functions.text import blank_if_null, is_present, match_key, record_url, strip
+from entitymart.functions.text import blank_if_null, is_present, match_key, strip
 from entitymart.operators.dedup import keep_one
-from entitymart.operators.lookup import MAX_BROADCAST_BYTES, lookup_join
+from entitymart.operators.lookup import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join
 from entitymart.operators.ordering import ORD, with_position
 
 
@@ -67,34 +68,61 @@ def relationship(
     ]
 
 
+@dataclass(frozen=True)
+class Names:
+    """Names to link to, and whether they were found to fit a broadcast."""
+
+    lookup: DataFrame
+    small: bool
+
+
+def exact_names(entities: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> Names:
+    """The lookup of exact links, with its size checked."""
+    lookup = name_lookup(entities).select("normalizedName", "entityId", "entityName", "entityType")
+    return Names(lookup, fits_broadcast(lookup, limit))
+
+
 def link_by_name(
     records: DataFrame,
     name: str,
-    entities: DataFrame,
+    names: Names,
     record_type: str,
     relationship_type: str,
     as_of: datetime,
-    limit: int = MAX_BROADCAST_BYTES,
+    unique: bool = False,
 ) -> DataFrame:
     """Relationships of records whose name column equals an entity's name.
 
-    The lookup has no blank name, so records without a name drop out in the join.
+    The lookup has no blank name, so records without a name drop out in the
+    join. ``unique`` keeps one per entity and url, and no ``_ord``.
     """
     facts = records.select(
         ORD,
         match_key(F.col(name)).alias("normalizedName"),
         blank_if_null(F.col("source_url")).alias("source_url"),
     )
-    lookup = name_lookup(entities).select("normalizedName", "entityId", "entityName", "entityType")
-    joined = lookup_join(facts, lookup, ["normalizedName"], [ORD], limit=limit)
-    return joined.select(
-        *relationship(record_type, relationship_type, F.col("source_url"), fixed.EXACT, as_of), ORD
-    )
+    joined = lookup_join(facts, names.lookup, ["normalizedName"], [ORD], small=names.small)
+    return finish_links(joined, record_type, relationship_type, fixed.EXACT, as_of, unique)
+
+
+def finish_links(
+    joined: DataFrame, record_type: str, relationship_type: str, confidence: float, as_of: datetime, unique: bool
+) -> DataFrame:
+    """Joined entities and records as relationships.
+
+    All columns of one kind of link follow from entity and url. One row for each
+    pair is therefore the same as the last of its rows; equal pairs are removed
+    on the varying columns alone, which hashes and combines map-side.
+    """
+    varying = ["entityId", "entityName", "entityType", "source_url"]
+    rows = joined.select(varying).distinct() if unique else joined.select(*varying, ORD)
+    columns = relationship(record_type, relationship_type, F.col("source_url"), confidence, as_of)
+    return rows.select(*columns, *([] if unique else [ORD]))
 
 
-def link_products(products: DataFrame, entities: DataFrame, as_of: datetime, **kw) -> DataFrame:
-    return link_by_name(products, "startupName", entities, "PRODUCT", fixed.HAS_PRODUCT, as_of, **kw)
+def link_products(products: DataFrame, names: Names, as_of: datetime, unique: bool = False) -> DataFrame:
+    return link_by_name(products, "startupName", names, "PRODUCT", fixed.HAS_PRODUCT, as_of, unique)
 
 
-def link_jobs(jobs: DataFrame, entities: DataFrame, as_of: datetime, **kw) -> DataFrame:
-    return link_by_name(jobs, "company", entities, "JOB", fixed.HAS_JOB, as_of, **kw)
+def link_jobs(jobs: DataFrame, names: Names, as_of: datetime, unique: bool = False) -> DataFrame:
+    return link_by_name(jobs, "company", names, "JOB", fixed.HAS_JOB, as_of, unique)

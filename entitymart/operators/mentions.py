@@ -7,6 +7,7 @@ cost follows the number of words, not records times names.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from entitymart import fixed
 from entitymart.functions.text import match_key, mention_text, record_url
-from entitymart.operators.entities import mention_names, relationship
+from entitymart.operators.entities import Names, finish_links, mention_names
 from entitymart.operators.lookup import MAX_BROADCAST_BYTES, lookup_join, total_bytes
 from entitymart.operators.ordering import ORD
 
@@ -38,28 +39,40 @@ def phrases(run: Column, sizes: list[int]) -> Column:
     return F.array_distinct(F.array(*[first_words(run, k) for k in sizes]))
 
 
-def longest_mentions(
-    texts: DataFrame, names: DataFrame, limit: int = MAX_BROADCAST_BYTES
-) -> DataFrame:
+@dataclass(frozen=True)
+class MentionNames(Names):
+    """Names to search for, with the numbers of words they have."""
+
+    sizes: list[int]
+
+
+def searched_names(entities: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> MentionNames:
+    """The names that texts are searched for, with their size checked."""
+    lookup = mention_names(entities).select(
+        "normalizedName", "entityId", "entityName", "entityType", "position"
+    )
+    n_words = F.size(F.split("normalizedName", " "))
+    size, found = lookup.agg(total_bytes(lookup), F.collect_set(n_words)).first()
+    return MentionNames(lookup, size <= limit, sorted(found) or [1])
+
+
+def longest_mentions(texts: DataFrame, names: MentionNames) -> DataFrame:
     """The longest name in each text, the earliest entity among equals.
 
     ``texts`` has ``_ord`` (unique), ``text`` and further columns, which are
-    kept; ``names`` has one row per ``normalizedName``. While the names fit a
-    broadcast, all matching is done in the task that reads the text: windows
-    that do not start like any name are dropped by a semi-join, the others are
-    compared for each name size, and only hits are shuffled. Beyond that each
-    distinct phrase of a record travels with nothing but the record's order,
-    salted, and the other columns are joined to the winners.
+    kept. While the names fit a broadcast, all matching is done in the task that
+    reads the text: windows that do not start like any name are dropped by a
+    semi-join, the others are compared for each name size, and only hits are
+    shuffled. Beyond that each distinct phrase of a record travels with nothing
+    but the record's order, salted, and the other columns are joined to the
+    winners.
     """
-    lookup = names.select("normalizedName", "entityId", "entityName", "entityType", "position")
-    n_words = F.size(F.split("normalizedName", " "))
-    size, found = lookup.agg(total_bytes(lookup), F.collect_set(n_words)).first()
-    small, sizes = size <= limit, sorted(found) or [1]
+    lookup, sizes = names.lookup, names.sizes
     carried = [c for c in texts.columns if c not in (ORD, "text")]
     # the normalised text is a column of its own, so that it is made once per record
     normal = texts.select(ORD, *carried, match_key(F.col("text")).alias("_text"))
     runs = windows(F.col("_text"), sizes[-1])
-    if small:
+    if names.small:
         starts = lookup.select(first_words(F.col("normalizedName"), sizes[0]).alias("_start")).distinct()
         grams = (
             normal.select(ORD, *carried, F.explode(runs).alias("_run"))
@@ -70,44 +83,42 @@ def longest_mentions(
     else:
         every = F.flatten(F.transform(runs, lambda run: phrases(run, sizes)))
         grams = normal.select(ORD, F.explode(F.array_distinct(every)).alias("normalizedName"))
-    hits = lookup_join(grams, lookup, ["normalizedName"], [ORD], small=small)
+    hits = lookup_join(grams, lookup, ["normalizedName"], [ORD], small=names.small)
     rank = F.struct(F.length("normalizedName").alias("len"), (-F.col("position")).alias("pos"))
     kept = [c for c in hits.columns if c != ORD]
     best = hits.groupBy(ORD).agg(F.max_by(F.struct(*kept), rank).alias("_hit")).select(ORD, "_hit.*")
-    return best if small else texts.drop("text").join(best, ORD)
+    return best if names.small else texts.drop("text").join(best, ORD)
 
 
 def link_mentions(
     records: DataFrame,
     fields: list[str],
-    entities: DataFrame,
+    names: MentionNames,
     record_type: str,
     relationship_type: str,
     as_of: datetime,
     paper_url: str | None = None,
-    limit: int = MAX_BROADCAST_BYTES,
+    unique: bool = False,
 ) -> DataFrame:
     """At most one relationship per record, from the text of ``fields``."""
     url = record_url(F.col("source_url"), F.col(paper_url) if paper_url else None)
     texts = records.select(
         ORD, url.alias("source_url"), mention_text(*[F.col(f) for f in fields]).alias("text")
     )
-    hits = longest_mentions(texts, mention_names(entities), limit)
-    return hits.select(
-        *relationship(record_type, relationship_type, F.col("source_url"), fixed.MENTION, as_of), ORD
-    )
+    hits = longest_mentions(texts, names)
+    return finish_links(hits, record_type, relationship_type, fixed.MENTION, as_of, unique)
 
 
-def link_papers(papers: DataFrame, entities: DataFrame, as_of: datetime, **kw) -> DataFrame:
+def link_papers(papers: DataFrame, names: MentionNames, as_of: datetime, unique: bool = False) -> DataFrame:
     """Mentions in title and authors; a paper without source url is known by its paper url."""
     return link_mentions(
-        papers, ["title", "authors"], entities, "RESEARCH_PAPER", fixed.MENTIONED_IN_RESEARCH, as_of,
-        paper_url="paper_url", **kw,
+        papers, ["title", "authors"], names, "RESEARCH_PAPER", fixed.MENTIONED_IN_RESEARCH, as_of,
+        paper_url="paper_url", unique=unique,
     )
 
 
-def link_news(news: DataFrame, entities: DataFrame, as_of: datetime, **kw) -> DataFrame:
+def link_news(news: DataFrame, names: MentionNames, as_of: datetime, unique: bool = False) -> DataFrame:
     """Mentions in title and content."""
     return link_mentions(
-        news, ["title", "content"], entities, "NEWS", fixed.MENTIONED_IN_NEWS, as_of, **kw
+        news, ["title", "content"], names, "NEWS", fixed.MENTIONED_IN_NEWS, as_of, unique=unique
     )

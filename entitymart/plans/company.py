@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entitymart.operators import analytics, entities, mentions, quality
+from entitymart.operators.lookup import MAX_BROADCAST_BYTES
 from entitymart.operators.ordering import ORD
+from entitymart.session import materialise
 
 
 @dataclass
@@ -33,29 +36,47 @@ class Outputs:
     analytics: DataFrame
 
 
-def mapped_relationships(inputs: Inputs, entity_rows: DataFrame, as_of: datetime) -> DataFrame:
-    """All links, product, job, paper, news, before duplicates are removed."""
-    parts = [
-        entities.link_products(inputs.products, entity_rows, as_of),
-        entities.link_jobs(inputs.jobs, entity_rows, as_of),
-        mentions.link_papers(inputs.papers, entity_rows, as_of),
-        mentions.link_news(inputs.news, entity_rows, as_of),
-    ]
-    out = None
-    for i, part in enumerate(parts):
-        kind = part.withColumn(ORD, F.struct(F.lit(i).alias("kind"), F.col(ORD).alias("record")))
-        out = kind if out is None else out.unionByName(kind)
-    return out
-
-
-def unique_relationships(mapped: DataFrame) -> DataFrame:
-    """One row per entity, record type and url.
+@dataclass
+class Linker:
+    """The four kinds of links to one entity table.
 
-    All columns of a link follow from these three, so keeping the last row is
-    the same as removing equal rows, which hashes and combines map-side.
-    ``dedup.relationships`` is the general form for tables from elsewhere.
+    The table is written to the shared folder once, since each kind reads it;
+    its names are checked for size once for both exact and both text links.
     """
-    return mapped.drop(ORD).distinct()
+
+    entities: DataFrame
+    exact: entities.Names
+    searched: mentions.MentionNames
+
+    @classmethod
+    def of(cls, startups: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> Linker:
+        rows = materialise(entities.canonical_entities(startups), "entities")
+        return cls(rows, entities.exact_names(rows, limit), mentions.searched_names(rows, limit))
+
+    def links(self, inputs: Inputs, as_of: datetime, unique: bool) -> list[DataFrame]:
+        """Product, job, paper and news links, in this order."""
+        return [
+            entities.link_products(inputs.products, self.exact, as_of, unique),
+            entities.link_jobs(inputs.jobs, self.exact, as_of, unique),
+            mentions.link_papers(inputs.papers, self.searched, as_of, unique),
+            mentions.link_news(inputs.news, self.searched, as_of, unique),
+        ]
+
+    def mapped(self, inputs: Inputs, as_of: datetime) -> DataFrame:
+        """All links before duplicates are removed, ordered by kind, then record."""
+        parts = [
+            part.withColumn(ORD, F.struct(F.lit(kind).alias("kind"), F.col(ORD).alias("record")))
+            for kind, part in enumerate(self.links(inputs, as_of, unique=False))
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    def relationships(self, inputs: Inputs, as_of: datetime) -> DataFrame:
+        """One link per entity, record type and url.
+
+        Each record type comes from one kind of link, so kinds cannot collide.
+        ``dedup.relationships`` is the general form for tables from elsewhere.
+        """
+        return reduce(DataFrame.unionByName, self.links(inputs, as_of, unique=True))
 
 
 def count_relationships(relationships: DataFrame) -> DataFrame:
@@ -64,14 +85,13 @@ def count_relationships(relationships: DataFrame) -> DataFrame:
 
 
 def run(inputs: Inputs, as_of: datetime) -> Outputs:
-    """Link, check and count in one lazy plan; any failure raises.
+    """Link, check and count; any failure raises.
 
-    The entity table feeds four links and their size checks, so it is kept in
-    executor storage; a lost block is computed again.
+    The relationships are written to the shared folder once, since the checks
+    and the counts both read them.
     """
-    entity_rows = entities.canonical_entities(inputs.startups).persist()
-    mapped = mapped_relationships(inputs, entity_rows, as_of)
-    unique = unique_relationships(mapped)
+    linker = Linker.of(inputs.startups)
+    unique = materialise(linker.relationships(inputs, as_of), "relationships")
     datasets = {
         "STARTUPS": inputs.startups,
         "PRODUCTS": inputs.products,
@@ -82,8 +102,8 @@ def run(inputs: Inputs, as_of: datetime) -> Outputs:
     if inputs.models is not None:
         datasets["MODELS"] = inputs.models
     return Outputs(
-        entities=entity_rows,
-        mapped=mapped,
+        entities=linker.entities,
+        mapped=linker.mapped(inputs, as_of),
         relationships=unique,
         quality=quality.quality_report(datasets),
         relationship_quality=quality.relationship_report(unique),

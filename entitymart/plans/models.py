@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from entitymart.functions.cards import prompt_with_source
 from entitymart.operators import dedup, descriptions, models, organizations
-from entitymart.session import scratch_path
+from entitymart.session import materialise
 from entitymart.sources import models as landed
 
 
@@ -37,9 +37,7 @@ def describe(
     """
     done = descriptions.finished(progress)
     work = descriptions.with_prompt(descriptions.pending(enriched, done), prompt_with_source())
-    path = scratch_path(enriched.sparkSession, "descriptions")
-    descriptions.generate(work, generator).write.parquet(path)
-    results = enriched.sparkSession.read.parquet(path)
+    results = materialise(descriptions.generate(work, generator), "descriptions")
     new = descriptions.successes(results)
     merged = descriptions.merged_progress(done, new)
     return Described(

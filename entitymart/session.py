@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -26,6 +26,17 @@ def build_session(app: str = "entitymart", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to the shared folder and read back.
+
+    For tables that several branches read and that are costly or not repeatable:
+    a lost executor then costs a read, not the work.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the cluster names.
 

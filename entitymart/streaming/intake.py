@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from entitymart.functions.dates import is_fresh
 from entitymart.functions.text import is_filled
-from entitymart.operators.entities import link_by_name
+from entitymart.operators.entities import Names, link_by_name
 
 
 def fresh_unique(stream: DataFrame, time: str, as_of: datetime, key: str = "source_url") -> DataFrame:
@@ -41,7 +41,7 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 def link_stream(
     stream: DataFrame,
     name: str,
-    entities: DataFrame,
+    names: Names,
     record_type: str,
     relationship_type: str,
     as_of: datetime,
@@ -55,7 +55,7 @@ def link_stream(
     """
 
     def link(batch: DataFrame, batch_id: int) -> None:
-        linked = link_by_name(batch, name, entities, record_type, relationship_type, as_of)
+        linked = link_by_name(batch, name, names, record_type, relationship_type, as_of)
         linked.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (

@@ -27,6 +27,14 @@ def entity_rows(i):
     return entities.canonical_entities(i.startups)
 
 
+def exact(i):
+    return entities.exact_names(entity_rows(i))
+
+
+def searched(i):
+    return mentions.searched_names(entity_rows(i))
+
+
 @query("rk1_entity_ids", sql('SELECT "entityId", source_url FROM (SELECT printf(\'STARTUP-%04d\', position) AS "entityId", source_url FROM positions)'))
 def rk1(i):
     return with_position(i.startups).select(entities.entity_id(F.col("position")).alias("entityId"), "source_url")
@@ -64,22 +72,22 @@ def srt1(i):
 
 @query("jn1_products_to_entities", sql(f"SELECT {ALL} FROM product_links"))
 def jn1(i):
-    return entities.link_products(i.products, entity_rows(i), JOBS_AS_OF).select(LINK)
+    return entities.link_products(i.products, exact(i), JOBS_AS_OF).select(LINK)
 
 
 @query("jn2_jobs_to_entities", sql(f"SELECT {ALL} FROM job_links"))
 def jn2(i):
-    return entities.link_jobs(i.jobs, entity_rows(i), JOBS_AS_OF).select(LINK)
+    return entities.link_jobs(i.jobs, exact(i), JOBS_AS_OF).select(LINK)
 
 
 @query("jn3_paper_mentions", sql(f"SELECT {ALL} FROM paper_links"))
 def jn3_papers(i):
-    return mentions.link_papers(i.papers, entity_rows(i), NEWS_AS_OF).select(LINK)
+    return mentions.link_papers(i.papers, searched(i), NEWS_AS_OF).select(LINK)
 
 
 @query("jn3_news_mentions", sql(f"SELECT {ALL} FROM news_links"))
 def jn3_news(i):
-    return mentions.link_news(i.news, entity_rows(i), NEWS_AS_OF).select(LINK)
+    return mentions.link_news(i.news, searched(i), NEWS_AS_OF).select(LINK)
 
 
 @query(
@@ -93,7 +101,7 @@ def jn3_news(i):
 )
 def rk2(i):
     texts = i.news.select(ORD, F.col("content").alias("text"))
-    hits = mentions.longest_mentions(texts, entities.mention_names(entity_rows(i)))
+    hits = mentions.longest_mentions(texts, searched(i))
     return hits.select(
         F.col(ORD).alias("record"), "normalizedName", F.length("normalizedName").cast("bigint").alias("len"), "entityId"
     )
@@ -101,19 +109,18 @@ def rk2(i):
 
 @query("prj16_relationship_records", sql(f"SELECT {ALL}, '1998-10-03 00:00:00' AS \"mappedAt\" FROM job_links"))
 def prj16(i):
-    linked = entities.link_jobs(i.jobs, entity_rows(i), JOBS_AS_OF)
+    linked = entities.link_jobs(i.jobs, exact(i), JOBS_AS_OF)
     return linked.select(*LINK, F.date_format("mappedAt", "yyyy-MM-dd HH:mm:ss").alias("mappedAt"))
 
 
 @query("set2_all_relationships", sql(f"SELECT {ALL} FROM mapped"))
 def set2(i):
-    return company.mapped_relationships(all_inputs(i), entity_rows(i), NEWS_AS_OF).select(LINK)
+    return company.Linker.of(i.startups).mapped(all_inputs(i), NEWS_AS_OF).select(LINK)
 
 
 @query("dd1_unique_relationships", sql(f"SELECT {ALL} FROM relationships"))
 def dd1(i):
-    mapped = company.mapped_relationships(all_inputs(i), entity_rows(i), NEWS_AS_OF)
-    return company.unique_relationships(mapped).select(LINK)
+    return company.Linker.of(i.startups).relationships(all_inputs(i), NEWS_AS_OF).select(LINK)
 
 
 @query(
@@ -157,8 +164,8 @@ ANALYTICS_SQL = sql(
 
 @query("ag1_mapping_analytics", ANALYTICS_SQL)
 def ag1_mapping(i):
-    mapped = company.mapped_relationships(all_inputs(i), entity_rows(i), NEWS_AS_OF)
-    return company.count_relationships(company.unique_relationships(mapped))
+    unique = company.Linker.of(i.startups).relationships(all_inputs(i), NEWS_AS_OF)
+    return company.count_relationships(unique)
 
 
 @query(
@@ -169,8 +176,8 @@ def ag1_mapping(i):
     ),
 )
 def products_per_company(i):
-    linked = entities.link_products(i.products, entity_rows(i), JOBS_AS_OF)
-    counted = company.count_relationships(company.unique_relationships(linked))
+    linked = entities.link_products(i.products, exact(i), JOBS_AS_OF, unique=True)
+    counted = company.count_relationships(linked)
     return counted.select("entityId", "entityName", "productCount")
 
 
@@ -201,7 +208,7 @@ def srt3(i):
     sql(f'SELECT {COUNTS} AS "mappedRows" FROM (SELECT *, "relationshipType" AS t FROM mapped)'),
 )
 def ag8(i):
-    return analytics.mapped_counts(company.mapped_relationships(all_inputs(i), entity_rows(i), NEWS_AS_OF))
+    return analytics.mapped_counts(company.Linker.of(i.startups).mapped(all_inputs(i), NEWS_AS_OF))
 
 
 def _blank(c: str) -> str:

@@ -39,7 +39,7 @@ def st1(i):
 def st2(i):
     stream = Arriving(i.spark, i.sf_dir).jobs
     path = scratch_path(i.spark, "linking")
-    companies = entities.canonical_entities(i.startups)
+    companies = entities.exact_names(entities.canonical_entities(i.startups))
     intake.link_stream(
         stream, "company", companies, "JOB", "HAS_JOB", JOBS_AS_OF, f"{path}/table", f"{path}/state"
     ).awaitTermination()
