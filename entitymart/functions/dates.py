@@ -58,8 +58,9 @@ def parse_iso(c: Column) -> Column:
             .when(F.substring(t, 11, 40).rlike(r"[+-]"), t)
             .otherwise(F.concat(t, F.lit("Z")))
         )
-        hour_only = F.regexp_replace(zoned, r"^(.{10}[T ]\d{2})(?=$|[+Z-])", "$1:00")
-        return F.when(t.rlike(ISO), hour_only.try_cast("timestamp"))
+        full = F.regexp_replace(zoned, r"^(.{10}[T ]\d{2})(?=[+Z-])", "$1:00")
+        full = F.regexp_replace(full, r"^(.{10}[T ]\d{2}:\d{2})(?=[+Z-])", "$1:00")
+        return F.when(t.rlike(ISO), full.try_cast("timestamp"))
 
     return F.when(c.rlike(r"^\d{4}"), let(text, cast))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
 
@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from entitymart.operators import analytics, entities, mentions, quality
 from entitymart.operators.lookup import MAX_BROADCAST_BYTES
 from entitymart.operators.ordering import ORD
+from entitymart.schemas import ANALYTICS, RELATIONSHIPS
 from entitymart.session import materialise
+from entitymart.sources import jobs
+from entitymart.sources.tables import write_csv
 
 
 @dataclass
@@ -63,12 +66,15 @@ class Linker:
         ]
 
     def mapped(self, inputs: Inputs, as_of: datetime) -> DataFrame:
-        """All links before duplicates are removed, ordered by kind, then record."""
-        parts = [
-            part.withColumn(ORD, F.struct(F.lit(kind).alias("kind"), F.col(ORD).alias("record")))
-            for kind, part in enumerate(self.links(inputs, as_of, unique=False))
-        ]
-        return reduce(DataFrame.unionByName, parts)
+        """All links before duplicates are removed, with the ordinal of their kind.
+
+        The kinds' inputs may be ordered in different ways, so no common
+        ``_ord`` is kept; rows of one entity, kind and url are equal anyway.
+        """
+        parts = self.links(inputs, as_of, unique=False)
+        return reduce(
+            DataFrame.unionByName, [p.drop(ORD).withColumn("kind", F.lit(i)) for i, p in enumerate(parts)]
+        )
 
     def relationships(self, inputs: Inputs, as_of: datetime) -> DataFrame:
         """One link per entity, record type and url.
@@ -110,3 +116,18 @@ def run(inputs: Inputs, as_of: datetime) -> Outputs:
         relationship_counts=analytics.relationship_counts(unique),
         analytics=count_relationships(unique),
     )
+
+
+def run_with_intake(
+    board_1: DataFrame, board_2: DataFrame, inputs: Inputs, as_of: datetime
+) -> Outputs:
+    """``run`` with the jobs taken fresh from the two boards' payloads; the other
+    inputs are those collected before."""
+    found = [jobs.board_1_jobs(board_1, as_of), jobs.board_2_jobs(board_2, as_of)]
+    return run(replace(inputs, jobs=materialise(jobs.unique_jobs(found), "jobs")), as_of)
+
+
+def write(outputs: Outputs, path: str) -> None:
+    """Relationships and counts as CSV tables under ``path``."""
+    write_csv(outputs.relationships, f"{path}/entity_relationships", RELATIONSHIPS)
+    write_csv(outputs.analytics, f"{path}/entity_analytics", ANALYTICS)

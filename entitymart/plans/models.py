@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame
 
 from entitymart.functions.cards import prompt_with_source
 from entitymart.operators import dedup, descriptions, models, organizations
+from entitymart.schemas import MODELS_ENRICHED
 from entitymart.session import materialise
 from entitymart.sources import models as landed
+from entitymart.sources.tables import write_csv
 
 
 @dataclass
@@ -50,3 +52,12 @@ def describe(
 
 def organization_sources(final: DataFrame) -> DataFrame:
     return organizations.organization_sources(organizations.organizations(final))
+
+
+def write_final(enriched: DataFrame, progress: DataFrame, path: str, always: bool = False) -> bool:
+    """Final models as a CSV table once every model has a description, or
+    ``always``; tells whether it was written."""
+    if not (always or descriptions.is_complete(enriched, progress)):
+        return False
+    write_csv(descriptions.final_models(enriched, progress), path, MODELS_ENRICHED)
+    return True

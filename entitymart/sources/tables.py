@@ -9,10 +9,14 @@ from pyspark.sql import types as T
 
 from entitymart.operators.ordering import ORD, with_file_order
 from entitymart.schemas import columns, conform
+from entitymart.session import materialise
 
 # Quotes are doubled, quoted values may hold line ends, spaces are data.
 CSV_READ = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "enforceSchema": False}
+# Time stamps as ISO text with microseconds and offset, as they were collected.
+STAMP = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"}
 CSV_WRITE = {
+    **STAMP,
     "header": True,
     "quote": '"',
     "escape": '"',
@@ -50,25 +54,20 @@ def write_csv(df: DataFrame, path: str, ddl: str) -> None:
 
 def write_json(df: DataFrame, path: str) -> None:
     """One JSON object per line, nested values kept, nulls written out."""
-    df.drop(ORD).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    df.drop(ORD).write.mode("overwrite").options(**STAMP, ignoreNullFields=False).json(path)
 
 
 def read_json(spark: SparkSession, path: str, ddl: str, ordered: bool = True) -> DataFrame:
-    df = spark.read.schema(ddl).json(path)
+    df = spark.read.schema(ddl).options(**STAMP).json(path)
     return with_file_order(df) if ordered else df
 
 
 def write_json_and_csv(df: DataFrame, path: str, ddl: str, flat: DataFrame | None = None) -> None:
-    """The nested records as JSON and the flat rows as CSV from one evaluation.
-
-    The JSON table is written first; the CSV table is made from the kept rows.
-    """
-    kept = df.persist()
-    try:
-        write_json(kept, f"{path}/json")
-        write_csv(flat(kept) if flat else kept, f"{path}/csv", ddl)
-    finally:
-        kept.unpersist()
+    """The nested records as JSON and the flat rows as CSV from one evaluation,
+    which is kept in the shared folder."""
+    kept = materialise(df, "records")
+    write_json(kept, f"{path}/json")
+    write_csv(flat(kept) if flat else kept, f"{path}/csv", ddl)
 
 
 def write_if_any(df: DataFrame, write) -> bool:

@@ -12,7 +12,7 @@ from entitymart.plans import company
 from entitymart.sources.jobs import union_sources
 from workload.inputs import JOBS_AS_OF, NEWS_AS_OF
 from workload.registry import query
-from workload.sqlkit import key, q, sql, strip
+from workload.sqlkit import FRESH_JOB, URL_1, job_links_of, key, q, sql, strip
 
 LINK = ["entityId", "entityName", "entityType", "recordType", "relationshipType", "source_url", "confidence"]
 ALL = ", ".join(f'"{c}"' for c in LINK)
@@ -297,6 +297,26 @@ def en7(i):
     return company.run(all_inputs(i), NEWS_AS_OF).analytics
 
 
+FRESH_LINKS = job_links_of(
+    f"(SELECT * FROM (SELECT 0 AS s, _ord, company, {URL_1} AS source_url FROM jobs WHERE {FRESH_JOB} AND source_url <> '' "
+    f"UNION ALL SELECT 1, _ord, company, source_url FROM jobs WHERE {FRESH_JOB} AND source_url <> '') "
+    "QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY s DESC, _ord DESC) = 1)"
+)
+
+
+@query(
+    "en7_run_with_intake",
+    sql(
+        f'SELECT "entityId", "entityName", {COUNTS} AS "totalRelationships" FROM '
+        '(SELECT *, "relationshipType" AS t FROM (SELECT * FROM product_links UNION SELECT * FROM paper_links '
+        f'UNION SELECT * FROM news_links UNION {FRESH_LINKS})) GROUP BY "entityId", "entityName"'
+    ),
+)
+def en7_intake(i):
+    inputs = company.Inputs(i.startups, i.products, i.papers, i.news, i.jobs)
+    return company.run_with_intake(i.board_1, i.board_2, inputs, JOBS_AS_OF).analytics
+
+
 @query(
     "set1_union_of_sources",
     sql(

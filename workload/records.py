@@ -13,7 +13,7 @@ from entitymart.sources import feeds, jobs, pages, papers, tables
 from workload.inputs import JOBS_AS_OF, NEWS_AS_OF
 from workload.registry import query
 from workload.sqlkit import (
-    JOBS_AS_OF as JOBS_TIME, NEWS_AS_OF as NEWS_TIME, article, collapse, fragment, official, q, rules as rule_sql,
+    FRESH_JOB, JOBS_AS_OF as JOBS_TIME, NEWS_AS_OF as NEWS_TIME, URL_1, article, collapse, fragment, official, q, rules as rule_sql,
     sql, stamp, strip, visible, domain,
 )
 
@@ -26,11 +26,6 @@ def shown(c: str):
 
 # job boards
 
-FRESH_JOB = f"date BETWEEN {JOBS_TIME} - INTERVAL 24 HOUR AND {JOBS_TIME}"
-URL_1 = (
-    "CASE WHEN source_url = '' THEN '' WHEN priority = '3-MEDIUM' "
-    "THEN replace(source_url, 'https://jobs.example', 'https://remoteok.com/jobs') ELSE source_url END"
-)
 ROLE = rule_sql("title", rules.ROLE_FAMILIES, "'Other'")
 ROLE_WIDE = rule_sql("title", rules.ROLE_FAMILIES_WIDE, "'Other'")
 

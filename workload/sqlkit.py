@@ -108,6 +108,21 @@ def org_key(x: str) -> str:
 
 KNOWN_VALUES = ", ".join(f"({q(k)}, {q(v)})" for k, v in fixed.KNOWN_SITES.items())
 
+FRESH_JOB = f"date BETWEEN {JOBS_AS_OF} - INTERVAL 24 HOUR AND {JOBS_AS_OF}"
+URL_1 = (
+    "CASE WHEN source_url = '' THEN '' WHEN priority = '3-MEDIUM' "
+    "THEN replace(source_url, 'https://jobs.example', 'https://remoteok.com/jobs') ELSE source_url END"
+)
+
+
+def job_links_of(table: str) -> str:
+    return f"""
+        SELECT e."entityId", e."entityName", e."entityType", 'JOB' AS "recordType",
+            'HAS_JOB' AS "relationshipType", r.source_url, 1.0::DOUBLE AS confidence
+        FROM (SELECT *, {key("company")} AS k FROM {table}) r
+        JOIN name_lookup e ON r.k = e."normalizedName" """
+
+
 CTE = {
     "startups": f"""
         SELECT s_suppkey AS _ord, s_name AS "entityName", 'https://dir.example/companies/' || s_suppkey AS source_url
@@ -225,11 +240,7 @@ CTE = {
             'HAS_PRODUCT' AS "relationshipType", r.source_url, 1.0::DOUBLE AS confidence
         FROM (SELECT *, """ + key('"startupName"') + """ AS k FROM products) r
         JOIN name_lookup e ON r.k = e."normalizedName" """,
-    "job_links": """
-        SELECT e."entityId", e."entityName", e."entityType", 'JOB' AS "recordType",
-            'HAS_JOB' AS "relationshipType", r.source_url, 1.0::DOUBLE AS confidence
-        FROM (SELECT *, """ + key("company") + """ AS k FROM jobs) r
-        JOIN name_lookup e ON r.k = e."normalizedName" """,
+    "job_links": job_links_of("jobs"),
     "paper_links": """
         SELECT e."entityId", e."entityName", e."entityType", 'RESEARCH_PAPER' AS "recordType",
             'MENTIONED_IN_RESEARCH' AS "relationshipType",

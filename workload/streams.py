@@ -9,9 +9,8 @@ from entitymart.sources.tables import as_instants
 from entitymart.streaming import intake
 from workload.company import ALL, LINK
 from workload.inputs import JOBS_AS_OF, Inputs
-from workload.records import FRESH_JOB
 from workload.registry import query
-from workload.sqlkit import sql
+from workload.sqlkit import FRESH_JOB, sql
 
 
 class Arriving(Inputs):
