@@ -24,6 +24,16 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def settled(value: Column) -> Column:
+    """The same value as a generated column, for use in ``select``.
+
+    Filters on a plain computed column, also those the optimizer infers from the
+    other side of a join, are moved below it and compute it a second time. They
+    stay above a generated column.
+    """
+    return F.explode(F.array(value))
+
+
 def match_key(c: Column) -> Column:
     """Lower-case ``[a-z0-9]`` words with single spaces; null gives ``""``.
 

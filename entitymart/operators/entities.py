@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from entitymart import fixed
 from entitymart.functions.dates import instant
-from entitymart.functions.text import blank_if_null, is_present, match_key, strip
+from entitymart.functions.text import blank_if_null, is_present, match_key, settled, strip
 from entitymart.operators.dedup import keep_one
 from entitymart.operators.lookup import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join
 from entitymart.operators.ordering import ORD, with_position
@@ -98,7 +98,7 @@ def link_by_name(
     """
     facts = records.select(
         ORD,
-        match_key(F.col(name)).alias("normalizedName"),
+        settled(match_key(F.col(name))).alias("normalizedName"),
         blank_if_null(F.col("source_url")).alias("source_url"),
     )
     joined = lookup_join(facts, names.lookup, ["normalizedName"], [ORD], small=names.small)

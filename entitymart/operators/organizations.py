@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entitymart import fixed
-from entitymart.functions.text import blank_if_null, collapse, is_present, strip
+from entitymart.functions.text import blank_if_null, collapse, is_present, settled, strip
 from entitymart.functions.urls import favicon, is_official_site, organization_key
 from entitymart.operators.dedup import keep_one
 from entitymart.operators.ordering import ORD
@@ -70,7 +70,7 @@ def organizations(models: DataFrame) -> DataFrame:
         strip(F.col("organization")).alias("organization"),
         strip(blank_if_null(F.col("source_url"))).alias("model_url"),
     )
-    keyed = rows.withColumn("key", organization_key(F.col("organization")))
+    keyed = rows.select("*", settled(organization_key(F.col("organization"))).alias("key"))
     return keep_one(keyed, ["key"], "first")
 
 

@@ -17,6 +17,7 @@ from entitymart.functions.text import blank_if_null, first_filled, is_present, l
 from entitymart.operators import dedup
 from entitymart.operators.lookup import lookup_join
 from entitymart.operators.ordering import ORD
+from entitymart.session import materialise
 
 ITEM = """struct<title: string, link: string, description: string, pubDate: string,
                  `atom:link`: array<struct<_href: string>>>"""
@@ -88,10 +89,14 @@ def article_texts(pages: DataFrame, items: DataFrame) -> DataFrame:
 
 def news(items: DataFrame, pages: DataFrame, as_of: datetime) -> DataFrame:
     """News records of fresh items; the content is the page's article, else the
-    feed's description. Freshness is tested before the pages are joined."""
-    fresh = items.filter(
-        is_fresh(F.col("published"), as_of) & is_present(F.col("title")) & is_present(F.col("url"))
-    )
+    feed's description.
+
+    Freshness is tested before the pages are joined. What is left is a day's
+    items; they are written to the shared folder once, so that the feeds are not
+    parsed again for the size check and for either side of the join.
+    """
+    wanted = is_fresh(F.col("published"), as_of) & is_present(F.col("title")) & is_present(F.col("url"))
+    fresh = materialise(items.filter(wanted), "fresh-items")
     # both sides can be large and the texts are wide: a plain join, in which
     # adaptive execution broadcasts texts that turn out small and splits hot urls
     joined = fresh.join(article_texts(pages, fresh), "url", "left")
