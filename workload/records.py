@@ -14,7 +14,7 @@ from workload.inputs import JOBS_AS_OF, NEWS_AS_OF
 from workload.registry import query
 from workload.sqlkit import (
     FRESH_JOB, JOBS_AS_OF as JOBS_TIME, NEWS_AS_OF as NEWS_TIME, URL_1, article, collapse, fragment, official, q, rules as rule_sql,
-    sql, stamp, strip, visible, domain,
+    sql, stamp, visible, domain,
 )
 
 TIME = "yyyy-MM-dd HH:mm:ss"
