@@ -4,6 +4,7 @@ import pytest
 import __spark_entry__ as entry
 from check import TABLES, rows
 from workload.inputs import Inputs
+from workload.registry import QUERIES, SQL
 
 ORACLE = [
     "ag1_products_per_company", "jn2_jobs_to_entities", "jn3_news_mentions", "dd1_unique_relationships",
@@ -30,7 +31,8 @@ def test_query_equals_sql(spark, sf, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
