@@ -219,7 +219,7 @@ def _verify(percent: int):
 
 
 def _arrays(width: int):
-    """Arrow step: shingles of the rows whose set is the one asked for."""
+    """Arrow step: shingles of the rows whose set is the one asked for, with their tiles."""
 
     def step(batches):
         for batch in batches:
@@ -229,8 +229,9 @@ def _arrays(width: int):
                 part = bounds[first : last + 1]
                 found = shingles(raw[part[0] : part[-1]], part - part[0], width)
                 rows = [(k, s) for k, s in enumerate(found, first) if len(s) and set_name(s) == wanted[k]]
-                columns = [pa.array([wanted[k] for k, _ in rows], pa.int64()), pa.array([s.tobytes() for _, s in rows], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "found"])
+                at = pa.array([k for k, _ in rows], pa.int64())
+                columns = [batch.column(0).take(at), pa.array([s.tobytes() for _, s in rows], pa.binary()), batch.column(2).take(at)]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "found", "tiles"])
 
     return step
 
@@ -275,7 +276,7 @@ def near_duplicates(documents: DataFrame, width: int = 4, percent: int = 85, til
     big = scratch.keep(loads.join(big, "root").select("root", "fine", cuts.alias("cuts")), "big")
     named = ["node", "id", "known"]
     whole = asked.join(big.select("root").distinct(), "root", "left_anti")
-    whole = whole.select(*named, F.col("root").alias("tile"), F.pmod(F.xxhash64("root"), F.lit(n)).alias("bucket"), F.lit(2).alias("side"))
+    whole = whole.select(*named, F.col("root").alias("tile"), F.pmod(F.xxhash64("root"), F.lit(n)).cast("long").alias("bucket"), F.lit(2).alias("side"))
     cut = asked.join(big, ["root", "fine"]).withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
     other = big.select("root", F.col("fine").alias("o_fine"), F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("o_cut"))
     reach = int(np.ceil(np.log(100 / percent) / np.log(1.05))) + 1
@@ -286,9 +287,13 @@ def near_duplicates(documents: DataFrame, width: int = 4, percent: int = 85, til
     pairs = pairs.select(*named, tile.alias("tile"), tile.alias("bucket"), side.alias("side"))
     tiles = scratch.keep(whole.unionByName(pairs), "tiles")
 
-    wanted = tiles.select(*named).distinct()
-    found = rows.join(wanted, ["id", "known"]).select("node", "text").mapInArrow(_arrays(width), "node long, found binary")
-    links = found.join(tiles, "node").groupBy("bucket").applyInArrow(_verify(percent), "a long, b long")
+    # A document is in few tiles; the asked ones grow with the corpus, so both sides are
+    # shuffled at every size, and the shingles once more, to their tiles.
+    wanted = tiles.groupBy(*named).agg(F.collect_list(F.struct("tile", "bucket", "side")).alias("tiles")).hint("merge")
+    found = rows.join(wanted, ["id", "known"]).select("node", "text", "tiles")
+    found = found.mapInArrow(_arrays(width), "node long, found binary, tiles array<struct<tile: long, bucket: long, side: int>>")
+    found = found.select("node", "found", F.inline("tiles"))
+    links = found.groupBy("bucket").applyInArrow(_verify(percent), "a long, b long")
     roots = components(scratch.keep(links, "links"), scratch, "linked")
 
     rooted = sets.join(scratch.keep(roots, "roots"), "node", "left").withColumn("root", F.coalesce("root", "node"))
