@@ -25,12 +25,8 @@ MAIL = (
     r"^(?:[A-Za-z]+,?\s+)?(\d{1,2}\s+[A-Za-z]{3}\s+\d{4})\s+(\d{1,2}:\d{2}(?::\d{2})?)"
     r"\s*([+-]\d{4}|[A-Za-z]+)?.*$"
 )
-# Unit, pattern; the first pattern found in the text decides.
-AGES = [
-    ("mins", r"(?i)([0-9]+)\s*(minute|minutes|min|mins)\s*ago"),
-    ("hours", r"(?i)([0-9]+)\s*(hour|hours|hr|hrs)\s*ago"),
-    ("days", r"(?i)([0-9]+)\s*(day|days)\s*ago"),
-]
+# Unit, stems of its name, and how many of it are taken for an age; the first unit found decides.
+AGES = [("mins", ["minute", "min"], 50 * 366 * 24 * 60), ("hours", ["hour", "hr"], 50 * 366 * 24), ("days", ["day"], 50 * 366)]
 
 
 def instant(when: datetime) -> Column:
@@ -78,11 +74,16 @@ def parse_mail(c: Column) -> Column:
 
 
 def parse_age(c: Column, as_of: Column) -> Column:
-    """``N minutes/hours/days ago`` anywhere in the text."""
+    """A number, a unit with or without plural, and ``ago``, anywhere in the text.
+
+    An age beyond fifty years is no age of a posting and gives null.
+    """
     out = F.lit(None).cast("timestamp")
-    for unit, pattern in reversed(AGES):
+    for unit, stems, most in reversed(AGES):
+        pattern = rf"(?i)(\d+)\s*(?:{'|'.join(stems)})s?\s*ago"
         n = F.regexp_extract(c, pattern, 1).try_cast("int")
-        out = F.when(c.rlike(pattern), as_of - F.make_interval(**{unit: n})).otherwise(out)
+        age = F.make_interval(**{unit: F.when(n <= most, n)})
+        out = F.when(c.rlike(pattern), as_of - age).otherwise(out)
     return out
 
 
@@ -91,9 +92,12 @@ def parse_date(c: Column, as_of: Column) -> Column:
     return let(strip(c), lambda t: F.coalesce(parse_iso(t), parse_mail(t), parse_age(t, as_of)))
 
 
-def is_fresh(ts: Column, as_of: datetime) -> Column:
+def is_fresh(ts: Column, as_of: datetime | None) -> Column:
     """Inside the closed window that ends at ``as_of``; null is not fresh.
 
-    Both bounds are literals, so the predicate reaches the file scan.
+    Both bounds are literals, so the predicate reaches the file scan. Without
+    ``as_of`` the window ends when the query, or a stream's micro-batch, starts.
     """
+    if as_of is None:
+        return ts.between(F.current_timestamp() - F.lit(FRESH_FOR), F.current_timestamp())
     return ts.between(instant(as_of - FRESH_FOR), instant(as_of))

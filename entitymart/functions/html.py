@@ -6,7 +6,8 @@ of its name. Everything else follows from stripping blocks before tags.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+import json
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ FURNITURE = ["script", "style", "noscript", "nav", "footer", "header", "form", "
 BLOCKS = ["address", "article", "blockquote", "br", "dd", "div", "dl", "dt", "h1", "h2", "h3", "h4",
           "h5", "h6", "hr", "li", "ol", "p", "pre", "section", "table", "td", "th", "tr", "ul"]
 
+# Code points that stand for Windows-1252 characters in a reference.
+WINDOWS_1252 = {n: bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
 COMMENT = r"<!--.*?-->"
 ANY_TAG = r"(?s)<[/!?a-zA-Z][^>]*>"
 
@@ -37,29 +41,30 @@ def decode_entities(c: Column) -> Column:
     """Named and numeric character references, each decoded once.
 
     The text is cut at ``&``; every later piece then starts with a possible
-    reference, so a decoded ``&`` is never read again.
+    reference, so a decoded ``&`` is never read again. Names are those of HTML 5;
+    128 to 159 are read as Windows-1252; what is no reference stays as it is.
     """
-    named = F.create_map(*[F.lit(x) for n, cp in sorted(name2codepoint.items()) for x in (n, chr(cp))])
-
-    def from_hex(digits: Column) -> Column:
-        return F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
+    # one folded literal instead of thousands
+    named = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    moved = F.create_map(*[F.lit(x) for pair in WINDOWS_1252.items() for x in pair])
+
+    def character(code: Column) -> Column:
+        return F.coalesce(
+            F.try_element_at(moved, code),
+            F.when(
+                (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF),
+                F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"),
+            ),
+        )
 
     def piece(p: Column) -> Column:
         number = F.regexp_extract(p, r"^#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6})(?![0-9a-fA-F])", 1)
-        digits = F.when(
-            number.rlike("^[xX]"), F.substring(number, 2, 6)
-        ).otherwise(F.hex(number.try_cast("bigint")))
-        name = F.regexp_extract(p, r"^[a-zA-Z][-.a-zA-Z0-9]*", 0)
-        rest = F.regexp_replace(p, r"^#?[-.a-zA-Z0-9]+;?", "")
-        # at most six hex digits and inside the Unicode range, else leave the text alone
-        valid = F.conv(digits, 16, 10).cast("bigint") <= 0x10FFFF
-        return (
-            F.when((number != "") & valid, F.concat(from_hex(digits), rest))
-            .when(name == "", F.concat(F.lit("&"), p))
-            .otherwise(
-                F.concat(F.coalesce(F.try_element_at(named, name), F.concat(F.lit("&"), name)), rest)
-            )
-        )
+        code = F.when(number.rlike("^[xX]"), F.conv(F.substring(number, 2, 6), 16, 10)).otherwise(number).try_cast("bigint")
+        name = F.regexp_extract(p, r"^[a-zA-Z][a-zA-Z0-9]*;?", 0)
+        found = F.when(number != "", character(code)).otherwise(F.try_element_at(named, name))
+        used = F.length(F.regexp_extract(p, r"^(?:#[xX]?[0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);?", 0))
+        rest = F.substring(p, used + 1, F.length(p))
+        return let(found, lambda f: F.when(f.isNotNull(), F.concat(f, rest)).otherwise(F.concat(F.lit("&"), p)))
 
     def joined(pieces: Column) -> Column:
         tail = F.transform(pieces, lambda p, n: F.when(n == 0, p).otherwise(piece(p)))

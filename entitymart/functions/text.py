@@ -90,3 +90,9 @@ def mention_text(*cs: Column) -> Column:
 def record_url(source_url: Column, paper_url: Column | None = None) -> Column:
     """The record's url, else the paper's."""
     return F.coalesce(first_filled(source_url), paper_url if paper_url is not None else F.lit(""), F.lit(""))
+
+
+def json_list(values: Column) -> Column:
+    """JSON text of a string array as a flat table holds it, items parted by comma and space."""
+    items = F.transform(values, lambda v: F.regexp_extract(F.to_json(F.array(v)), r"(?s)^\[(.*)\]$", 1))
+    return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))

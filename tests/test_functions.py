@@ -133,7 +133,7 @@ def test_is_remote(one):
         ("<script>var t='</p>';</script>t", "t"),
         ("a &amp;lt; b", "a &lt; b"),
         ("&eacute;&#8217;&#x1F600;&copy 1", "é’😀© 1"),
-        ("AT&T & &foo; R&D", "AT&T & &foo R&D"),
+        ("AT&T & &foo; R&D", "AT&T & &foo; R&D"),
         ("1 < 2", "1 < 2"),
         (None, ""),
     ],
@@ -225,3 +225,24 @@ def test_prompt_does_not_fill_values_again(spark):
     prompt = df.select(cards.prompt_with_source().alias("p")).first()["p"]
     assert "Model name: {organization}\nOrganization: o\n" in prompt
     assert "Library/framework: \n" in prompt and "description:\nd\n" in prompt
+
+
+@pytest.mark.parametrize(
+    "raw, want",
+    [("it&apos;s", "it's"), ("don&#146;t", "don\u2019t"), ("a &hellip; b", "a \u2026 b"), ("x &NotEqualTilde; y", "x \u2242\u0338 y"),
+     ("R&D and &unknown; stay", "R&D and &unknown; stay"), ("&amp;lt;", "&lt;"), ("&#x92;&#128;", "\u2019\u20ac"), ("&#39s", "'s"), ("&#99999999;", "&#99999999;")],
+)
+def test_character_references(one, raw, want):
+    assert one(html.fragment_text, raw) == want
+
+
+@pytest.mark.parametrize("raw", ["2147483647 days ago", "99999999 days ago", "99999999999 minutes ago", "20000000 hours ago"])
+def test_huge_ages_are_no_dates(one, raw):
+    from pyspark.sql import functions as F
+
+    assert one(lambda c: dates.parse_date(c, F.lit("2024-01-30 00:00:00").cast("timestamp")), raw) is None
+
+
+def test_paragraphs_that_are_not_closed_end_at_the_next_end_tag(one):
+    """A page without an article: what stands between the first start and the first end is one paragraph."""
+    assert one(html.article_text, "<body><p>one<p>two</p><p>three</p></body>") == "one two three"
