@@ -16,9 +16,12 @@ from entitymart.functions.text import is_filled
 from entitymart.operators.entities import Names, link_by_name
 
 
-def fresh_unique(stream: DataFrame, time: str, as_of: datetime, key: str = "source_url") -> DataFrame:
+def fresh_unique(stream: DataFrame, time: str, as_of: datetime | None = None, key: str = "source_url") -> DataFrame:
     """Fresh records, one per url, with state bounded by the watermark.
 
+    Without ``as_of`` freshness is judged at each micro-batch's own time, so a
+    query may run on; a fixed time is for replays and tests.
+
     The window's upper bound is applied before the watermark, so a record dated
     in the future cannot move the watermark past good ones.
     """
@@ -26,14 +29,18 @@ def fresh_unique(stream: DataFrame, time: str, as_of: datetime, key: str = "sour
     return fresh.withWatermark(time, "24 hours").dropDuplicatesWithinWatermark([key])
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process all that has arrived and append it to a Parquet table, exactly once."""
+def append_to(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Append arriving records to a Parquet table, exactly once.
+
+    ``trigger`` is Spark's, ``processingTime="1 minute"`` say; without it all
+    that has arrived is processed and the query ends.
+    """
     return (
         stream.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
@@ -47,6 +54,7 @@ def link_stream(
     as_of: datetime,
     path: str,
     checkpoint: str,
+    **trigger,
 ) -> StreamingQuery:
     """Link each arriving batch to the entity table and keep it under its batch id.
 
@@ -61,6 +69,6 @@ def link_stream(
     return (
         stream.writeStream.foreachBatch(link)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
