@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from entitymart.functions.text import blank_if_null, is_present, strip
 from entitymart.operators.dedup import keep_one
-from entitymart.operators.lookup import lookup_join
 from entitymart.operators.ordering import ORD
 from entitymart.schemas import FAILED, MODELS_ENRICHED, columns
 
@@ -29,7 +28,7 @@ def finished(progress: DataFrame) -> DataFrame:
 def pending(models: DataFrame, done: DataFrame) -> DataFrame:
     """Models whose url has no finished description."""
     rows = models.withColumn("source_url", strip(blank_if_null(F.col("source_url"))))
-    return lookup_join(rows, done.select("source_url"), ["source_url"], [ORD], how="left_anti")
+    return rows.join(done.select("source_url"), "source_url", "left_anti")
 
 
 def with_prompt(rows: DataFrame, prompt: Column) -> DataFrame:
@@ -72,7 +71,7 @@ def failures(results: DataFrame, new: DataFrame) -> DataFrame:
     """Rows of this run without a result: no earlier row of the same url had one."""
     first = new.select("source_url", F.col(ORD).alias("_success"))
     empty = results.filter("generated = ''")
-    joined = lookup_join(empty, first, ["source_url"], [ORD], how="left")
+    joined = empty.join(first, "source_url", "left")
     return joined.filter(F.col("_success").isNull() | (F.col(ORD) < F.col("_success"))).select(
         ORD, *columns(FAILED)
     )
@@ -81,7 +80,7 @@ def failures(results: DataFrame, new: DataFrame) -> DataFrame:
 def final_models(models: DataFrame, done: DataFrame) -> DataFrame:
     """Models with the finished description, blank where there is none."""
     rows = models.withColumn("source_url", strip(blank_if_null(F.col("source_url")))).drop("description")
-    joined = lookup_join(rows, done.select("source_url", "description"), ["source_url"], [ORD], how="left")
+    joined = rows.join(done.select("source_url", "description"), "source_url", "left")
     return joined.withColumn("description", blank_if_null(F.col("description"))).select(
         ORD, *columns(MODELS_ENRICHED)
     )

@@ -45,7 +45,10 @@ def lookup_join(
     limit: int = MAX_BROADCAST_BYTES,
     small: bool | None = None,
 ) -> DataFrame:
-    """Join ``facts`` to a lookup that has one row per key.
+    """Join ``facts`` to a lookup of names, one row per key, whose keys are skewed in the facts.
+
+    For lookups that grow with the facts a plain join is right: adaptive execution
+    broadcasts what turns out small and splits hot partitions, and nothing is copied.
 
     The lookup's size is counted first. Within ``limit`` it is broadcast and the
     facts are not shuffled. Beyond it both sides shuffle on key and salt, so a

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entitymart import fixed
-from entitymart.functions.text import match_key, mention_text, record_url
+from entitymart.functions.text import json_list, match_key, mention_text, record_url
 from entitymart.operators.entities import Names, finish_links, mention_names
 from entitymart.operators.lookup import MAX_BROADCAST_BYTES, lookup_join, total_bytes
 from entitymart.operators.ordering import ORD
@@ -63,9 +63,8 @@ def longest_mentions(texts: DataFrame, names: MentionNames) -> DataFrame:
     kept. While the names fit a broadcast, all matching is done in the task that
     reads the text: windows that do not start like any name are dropped by a
     semi-join, the others are compared for each name size, and only hits are
-    shuffled. Beyond that each distinct phrase of a record travels with nothing
-    but the record's order, salted, and the other columns are joined to the
-    winners.
+    shuffled. Beyond that each distinct phrase of a record travels, salted, with
+    the record's order and kept columns; the order need not be stable between runs.
     """
     lookup, sizes = names.lookup, names.sizes
     carried = [c for c in texts.columns if c not in (ORD, "text")]
@@ -82,12 +81,11 @@ def longest_mentions(texts: DataFrame, names: MentionNames) -> DataFrame:
         )
     else:
         every = F.flatten(F.transform(runs, lambda run: phrases(run, sizes)))
-        grams = normal.select(ORD, F.explode(F.array_distinct(every)).alias("normalizedName"))
+        grams = normal.select(ORD, *carried, F.explode(F.array_distinct(every)).alias("normalizedName"))
     hits = lookup_join(grams, lookup, ["normalizedName"], [ORD], small=names.small)
     rank = F.struct(F.length("normalizedName").alias("len"), (-F.col("position")).alias("pos"))
     kept = [c for c in hits.columns if c != ORD]
-    best = hits.groupBy(ORD).agg(F.max_by(F.struct(*kept), rank).alias("_hit")).select(ORD, "_hit.*")
-    return best if names.small else texts.drop("text").join(best, ORD)
+    return hits.groupBy(ORD).agg(F.max_by(F.struct(*kept), rank).alias("_hit")).select(ORD, "_hit.*")
 
 
 def link_mentions(
@@ -100,11 +98,12 @@ def link_mentions(
     paper_url: str | None = None,
     unique: bool = False,
 ) -> DataFrame:
-    """At most one relationship per record, from the text of ``fields``."""
+    """At most one relationship per record, from the text of ``fields``; a string
+    array is read as the JSON text that a flat table holds."""
     url = record_url(F.col("source_url"), F.col(paper_url) if paper_url else None)
-    texts = records.select(
-        ORD, url.alias("source_url"), mention_text(*[F.col(f) for f in fields]).alias("text")
-    )
+    lists = {f for f, t in records.dtypes if t == "array<string>"}
+    read = [json_list(F.col(f)) if f in lists else F.col(f) for f in fields]
+    texts = records.select(ORD, url.alias("source_url"), mention_text(*read).alias("text"))
     hits = longest_mentions(texts, names)
     return finish_links(hits, record_type, relationship_type, fixed.MENTION, as_of, unique)
 

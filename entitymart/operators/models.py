@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from entitymart.functions import cards, urls
 from entitymart.functions.text import blank_if_null, first_filled, is_filled, is_present, strip
 from entitymart.operators import dedup
-from entitymart.operators.lookup import lookup_join
 from entitymart.operators.ordering import ORD
 from entitymart.schemas import MODELS_ENRICHED, columns
 
@@ -21,7 +20,7 @@ def _described(models: DataFrame, card_rows: DataFrame, model_id: Column, extrac
     """
     keyed = models.withColumn("model_id", model_id)
     wanted = keyed.select("model_id").distinct()
-    read = lookup_join(card_rows.select(ORD, "model_id", "readme"), wanted, ["model_id"], [ORD])
+    read = card_rows.select(ORD, "model_id", "readme").join(wanted, "model_id")
     found = dedup.keep_one(read, ["model_id"], "last").select(
         "model_id", extract(F.col("readme")).alias("found")
     )

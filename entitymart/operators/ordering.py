@@ -2,15 +2,17 @@
 
 Spark rows have no order. Operators that keep the first or last row, or number
 rows, read it from the column ``_ord``: a unique long that grows with arrival
-order, or the struct that ``with_file_order`` adds to a file scan.
+order, the struct that ``with_file_order`` adds to a file scan, or a struct
+made of such values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from entitymart.session import materialise
 
 ORD = "_ord"
 ONE_TASK_ROWS = 200_000
@@ -32,44 +34,23 @@ def with_file_order(df: DataFrame) -> DataFrame:
     )
 
 
-def _buckets(df: DataFrame) -> tuple[Column, Column]:
-    """Two nested bucket keys that follow the order and bound the inner bucket.
-
-    A unique long puts at most 2**20 rows into an inner bucket whatever the
-    distribution; a file block is bounded by the reader's split size.
-    """
-    if isinstance(df.schema[ORD].dataType, T.StructType):
-        return F.col(f"{ORD}.file"), F.col(f"{ORD}.block")
-    return F.shiftright(F.col(ORD), 40), F.shiftright(F.col(ORD), 20)
-
-
 def with_position(df: DataFrame, name: str = "position", one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """Dense 1-based row number by ``_ord``.
+    """Dense 1-based row number by ``_ord``, whatever its type.
 
     The rows are counted first. Up to ``one_task_rows`` they are numbered in one
-    task. Beyond that rows are counted per bucket, bucket counts are summed up in
-    order, and rows are numbered inside their bucket; only the outer bucket table
-    (one row per 2**40 order values, or per file) is then handled as a whole.
+    task. Beyond that they are dealt by ranges of ``_ord`` and kept in the shared
+    folder with the number of their range; rows are counted per range and
+    numbered inside it, and only the counts, one per range, are summed up as a whole.
     """
     if df.select(ORD).limit(one_task_rows + 1).count() <= one_task_rows:
         return df.withColumn(name, F.row_number().over(W.orderBy(ORD)).cast("bigint"))
-    outer, inner = _buckets(df)
-    rows = df.select("*", outer.alias("_outer"), inner.alias("_inner"))
-    counts = rows.groupBy("_outer", "_inner").agg(F.count(F.lit(1)).alias("_n"))
-    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    within = counts.withColumn("_before", before(W.partitionBy("_outer").orderBy("_inner")))
-    outers = counts.groupBy("_outer").agg(F.sum("_n").alias("_n"))
-    outers = outers.select("_outer", before(W.orderBy("_outer")).alias("_base"))
-    starts = within.join(outers, "_outer").select(
-        "_outer", "_inner", (F.col("_before") + F.col("_base")).alias("_start")
-    )
-    in_bucket = F.row_number().over(W.partitionBy("_outer", "_inner").orderBy(ORD))
-    return (
-        rows.withColumn("_row", in_bucket)
-        .join(starts, ["_outer", "_inner"])
-        .withColumn(name, F.col("_start") + F.col("_row"))
-        .drop("_outer", "_inner", "_row", "_start")
-    )
+    dealt = materialise(df.repartitionByRange(ORD).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
+    starts = counts.select("_range", F.coalesce(before, F.lit(0)).alias("_start"))
+    in_range = F.row_number().over(W.partitionBy("_range").orderBy(ORD))
+    numbered = dealt.withColumn("_row", in_range).join(starts, "_range")
+    return numbered.withColumn(name, F.col("_start") + F.col("_row")).drop("_range", "_row", "_start")
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:

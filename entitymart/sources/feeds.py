@@ -15,7 +15,6 @@ from entitymart.functions.dates import instant, is_fresh, parse_date
 from entitymart.functions.html import article_text, fragment_text
 from entitymart.functions.text import blank_if_null, first_filled, is_present, let, strip
 from entitymart.operators import dedup
-from entitymart.operators.lookup import lookup_join
 from entitymart.operators.ordering import ORD
 from entitymart.session import materialise
 
@@ -81,7 +80,7 @@ def article_texts(pages: DataFrame, items: DataFrame) -> DataFrame:
     neither shuffled nor parsed. Of several copies of a page the last counts.
     """
     wanted = items.select("url").distinct()
-    found = lookup_join(pages.select(ORD, "url", "html"), wanted, ["url"], [ORD])
+    found = pages.select(ORD, "url", "html").join(wanted, "url")
     return dedup.keep_one(found, ["url"], "last").select(
         "url", article_text(F.col("html")).alias("article")
     )

@@ -13,12 +13,10 @@ from entitymart.functions.html import decode_entities, visible_text
 from entitymart.functions.rules import pricing_model
 from entitymart.functions.text import collapse, is_filled, is_present
 from entitymart.operators import dedup
-from entitymart.operators.lookup import lookup_join
 from entitymart.operators.ordering import ORD, first_rows
 
 ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*["']/companies/[^>]*>.*?</a\s*>"""
 HREF = r"""(?is)href\s*=\s*["']([^"']*)["']"""
-PRODUCT_LIMIT = 1000
 DESCRIPTION_SIZE = 1000
 
 
@@ -75,16 +73,16 @@ def startups_plain(links: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def products(
-    startup_rows: DataFrame, pages: DataFrame, as_of: datetime, n: int | None = PRODUCT_LIMIT
+    startup_rows: DataFrame, pages: DataFrame, as_of: datetime, n: int | None = None
 ) -> DataFrame:
-    """Nested product records from the pages of the first ``n`` startups.
+    """Nested product records from the pages of all startups, or of the first ``n``.
 
     The label rules read the whole text; the description keeps its start.
     """
     chosen = first_rows(startup_rows, n) if n is not None else startup_rows
     page = pages.select(F.col("url").alias("source_url"), "html")
     # the pages are the large side: only those of chosen startups are parsed
-    joined = lookup_join(page, chosen.select(ORD, "source_url", "entityName"), ["source_url"], ["html"])
+    joined = page.join(chosen.select(ORD, "source_url", "entityName"), "source_url")
     joined = joined.withColumn("text", visible_text(F.col("html"))).filter(is_filled(F.col("text")))
     return joined.select(
         ORD,

@@ -15,7 +15,6 @@ from entitymart.functions.text import (
 )
 from entitymart.functions.urls import repository_from_url, repository_in_text, repository_url
 from entitymart.operators import dedup
-from entitymart.operators.lookup import lookup_join
 from entitymart.operators.ordering import ORD
 
 ENTRY = """entry array<struct<id: string, title: string, summary: string, published: string,
@@ -67,7 +66,7 @@ def with_stars(records: DataFrame, repositories: DataFrame) -> DataFrame:
         F.col("full_name").alias("_repository"), F.col("stargazers_count").alias("_stars")
     )
     keyed = records.withColumn("_repository", repository_from_url(F.col("github_url")))
-    joined = lookup_join(keyed, lookup, ["_repository"], [ORD], how="left")
+    joined = keyed.join(lookup, "_repository", "left")
     return joined.withColumn("github_stars", F.col("_stars")).drop("_repository", "_stars").select(
         *records.columns
     )
@@ -97,7 +96,8 @@ def best_repositories(results: DataFrame) -> DataFrame:
 
 def searched_papers(records: DataFrame, results: DataFrame, as_of: datetime) -> DataFrame:
     """Paper rows with the best repository found for the title's first words."""
-    keyed = records.withColumn("keywords", search_keywords(F.col("title")))
+    # a blank title finds nothing; as null its rows are not gathered under one key
+    keyed = records.withColumn("keywords", F.nullif(search_keywords(F.col("title")), F.lit("")))
     # about one result per paper: a plain join, adaptive execution sees to size and skew
     joined = keyed.join(best_repositories(results), "keywords", "left")
     return joined.select(

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entitymart.functions.text import json_list
 from entitymart.operators.ordering import ORD, with_file_order
 from entitymart.schemas import columns, conform
 from entitymart.session import materialise
@@ -48,8 +49,9 @@ def read_csv_or_empty(spark: SparkSession, path: str, ddl: str, ordered: bool =
 
 
 def write_csv(df: DataFrame, path: str, ddl: str) -> None:
-    """CSV table in the schema's column order, replacing the path."""
-    conform(df, ddl).write.mode("overwrite").options(**CSV_WRITE).csv(path)
+    """CSV table in the schema's column order, replacing the path; string arrays as JSON text."""
+    lists = [c for c, t in df.dtypes if t == "array<string>"]
+    conform(df.withColumns({c: json_list(F.col(c)) for c in lists}), ddl).write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -78,18 +80,9 @@ def write_if_any(df: DataFrame, write) -> bool:
     return True
 
 
-def read_parquet(spark: SparkSession, path: str, spread: str | None = None) -> DataFrame:
-    """Parquet table. ``spread`` names a column to hash a small table by.
-
-    A table of a few scan tasks may sit in a single row group, which one task
-    then reads and works on alone. It is small, so moving it is cheap; a table
-    of more scan tasks than that is read where it lies.
-    """
-    df = spark.read.schema(as_instants(spark.read.parquet(path).schema)).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() <= 2 * cores:
-        return df.repartition(cores, spread)
-    return df
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet table, read where it lies, with time stamps as instants."""
+    return spark.read.schema(as_instants(spark.read.parquet(path).schema)).parquet(path)
 
 
 def as_instants(schema: T.StructType) -> T.StructType:
@@ -132,10 +125,4 @@ def flat_job(df: DataFrame) -> DataFrame:
 
 def flat_paper(df: DataFrame) -> DataFrame:
     """Papers with the author array as JSON text, items parted by comma and space."""
-    return df.withColumn("authors", authors_json(F.col("authors"))).drop("updated_date")
-
-
-def authors_json(authors):
-    """JSON text of a string array as a CSV cell holds it."""
-    items = F.transform(authors, lambda a: F.regexp_extract(F.to_json(F.array(a)), r"(?s)^\[(.*)\]$", 1))
-    return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+    return df.withColumn("authors", json_list(F.col("authors"))).drop("updated_date")

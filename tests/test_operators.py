@@ -37,6 +37,52 @@ def test_positions_of_file_order(spark, tmp_path):
     assert got == [(part * 5 + i + 1, f"n{part}{i}") for part in range(3) for i in range(5)]
 
 
+@pytest.mark.parametrize("one_task_rows", [0, 1000])
+def test_positions_of_links_in_pages_of_files(spark, one_task_rows):
+    """The order of a link: its page's order, itself a struct, and its place in the page."""
+    order = "struct<_page: struct<file: string, block: bigint, row: bigint>, _pos: int>"
+    rows = [(((f"f{k % 3}", 10 * (k % 2), k), k % 5), k) for k in range(200)]
+    df = spark.createDataFrame(rows, f"_ord {order}, k bigint").repartition(5)
+    got = values(with_position(df, one_task_rows=one_task_rows), "position", "k")
+    assert [k for _, k in got] == [k for _, k in sorted(rows)] and [p for p, _ in got] == list(range(1, 201))
+
+
+def test_papers_with_author_lists_link_like_their_json_text(table):
+    from pyspark.sql import functions as F
+
+    names = mentions.searched_names(entities.canonical_entities(startups(table)))
+    lists = table("title string, authors array<string>, source_url string, paper_url string",
+                  [("On things", ["Acmeo Robotics"], "", "p0"), ("acmeo", [], "s1", "p1"), ("x", None, "s2", "")])
+    flat = lists.withColumn("authors", F.to_json("authors"))
+    got = [values(mentions.link_papers(p, names, AS_OF), "source_url", "entityId") for p in (lists, flat)]
+    assert got[0] == got[1] == [("p0", "STARTUP-0003"), ("s1", "STARTUP-0001")]
+
+
+def test_descriptions_survive_a_generator_that_stops(spark, table, tmp_path):
+    from entitymart.plans import models as plan
+    from entitymart.schemas import MODELS_ENRICHED, columns
+
+    names = columns(MODELS_ENRICHED)
+    rows = [tuple(f"{c}{k}" if c not in ("downloads", "likes") else k for c in names) for k in range(40)]
+    models = table(MODELS_ENRICHED, rows)
+    progress = table("source_url string, description string", [("source_url0", "known")])
+    path = str(tmp_path / "progress")
+
+    def broken(prompts):
+        if any("model_name17" in p for p in prompts):
+            raise RuntimeError("stopped")
+        return ["text " + p[:5] for p in prompts]
+
+    with pytest.raises(Exception, match="stopped"):
+        plan.describe_in_chunks(models, progress, broken, path, chunks=8)
+    kept = {r["source_url"] for r in plan.committed(spark, progress, path).collect()}
+    assert 1 < len(kept) < 40
+    again = plan.describe_in_chunks(models, progress, lambda prompts: ["again"] * len(prompts), path, chunks=8).collect()
+    found = {r["source_url"]: r["description"] for r in again}
+    assert len(found) == 40 and found["source_url0"] == "known" and found["source_url17"] == "again"
+    assert all(found[u] != "again" for u in kept)
+
+
 def startups(table):
     return table(
         "entityName string, source_url string",

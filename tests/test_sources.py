@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from entitymart import schemas
 from entitymart.operators.ordering import ORD
 from entitymart.session import scratch_path
+from entitymart.functions import text
 from entitymart.sources import feeds, jobs, models, pages, papers, tables
 
 AS_OF = datetime(2024, 1, 30, 12, tzinfo=timezone.utc)
@@ -119,9 +120,9 @@ def test_newest_papers(table):
     assert [r.paper_url for r in papers.newest_papers(rows, 2).collect()] == ["b", "c"]
 
 
-def test_authors_json(spark):
+def test_json_list(spark):
     df = spark.createDataFrame([(['é"x', "b, c"],), ([],)], "authors array<string>")
-    got = [r[0] for r in df.select(tables.authors_json(F.col("authors"))).collect()]
+    got = [r[0] for r in df.select(text.json_list(F.col("authors"))).collect()]
     assert got == [json.dumps(['é"x', "b, c"], ensure_ascii=False), "[]"]
 
 

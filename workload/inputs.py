@@ -23,11 +23,6 @@ AGAIN, NAMELESS, PASSAGES = 1_000_000_000, 500_000_000, 2_000_000_000
 ORGANIZATIONS = [*fixed.KNOWN_SITES, *fixed.ORGANIZATION_ALIASES, "unknown lab"]
 CONFIDENCES = ["0.5", " 1 ", "1.5", "-0.1", "abc", "", "NaN", "0.2_5", "1_0", "0.5d", "inf", "1e-3"]
 
-# Tables with much work per file, with the key to spread them by while they are small.
-SPREAD = {
-    "documents": "doc_id", "pages": "page_id", "lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id",
-}
-
 text = F.concat
 lit = F.lit
 
@@ -63,7 +58,7 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet", spread=SPREAD.get(name))
+        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def startups(self) -> DataFrame:

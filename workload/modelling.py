@@ -36,9 +36,9 @@ def src5(i):
     return landed.read_models(i.spark, path).drop(ORD).withColumn("id", F.trim("id"))
 
 
-@query("top4_most_downloaded", sql("SELECT _ord AS id, downloads FROM models ORDER BY downloads DESC, _ord LIMIT 2000"))
+@query("top4_most_downloaded", sql("SELECT _ord AS id, downloads FROM models ORDER BY downloads DESC, _ord LIMIT 700"))
 def top4(i):
-    return landed.most_downloaded(i.raw_models).select(F.col(ORD).alias("id"), "downloads")
+    return landed.most_downloaded(i.raw_models, 700).select(F.col(ORD).alias("id"), "downloads")
 
 
 FIRST_MODEL = (

@@ -421,10 +421,10 @@ def dd8(i):
 
 @query(
     "top2_newest_papers",
-    sql("SELECT paper_url, published_date FROM papers WHERE lang <> 'de' ORDER BY published_date DESC LIMIT 1000"),
+    sql("SELECT paper_url, published_date FROM papers WHERE lang <> 'de' ORDER BY published_date DESC LIMIT 400"),
 )
 def top2(i):
-    return papers.newest_papers(papers.papers(i.paper_feeds, NEWS_AS_OF)).select("paper_url", "published_date")
+    return papers.newest_papers(papers.papers(i.paper_feeds, NEWS_AS_OF), 400).select("paper_url", "published_date")
 
 
 @query(
@@ -541,12 +541,12 @@ def prj8(i):
     "jn11_first_startup_pages",
     sql(
         "SELECT s.source_url, \"productName\" FROM (SELECT url AS source_url, 'Company ' || page_id AS \"productName\" "
-        f"FROM pages ORDER BY page_id LIMIT 1000) s JOIN (SELECT url, {PRODUCT_TEXT} AS t FROM pages) p "
+        f"FROM pages ORDER BY page_id LIMIT 100) s JOIN (SELECT url, {PRODUCT_TEXT} AS t FROM pages) p "
         "ON s.source_url = p.url WHERE t <> ''"
     ),
 )
 def jn11(i):
-    return pages.products(page_startups(i), i.pages, NEWS_AS_OF).select(
+    return pages.products(page_startups(i), i.pages, NEWS_AS_OF, n=100).select(
         F.col("source.url").alias("source_url"), "content.productName"
     )
 
