@@ -66,8 +66,12 @@ def fit(documents: DataFrame, rows_per_language: int = 1000, entries: int = 400_
     scratch = Scratch(documents.sparkSession, "language")
     labelled = documents.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     ids = labelled.select(F.col("doc_id").alias("s_id"), F.col("lang").cast("string").alias("s_lang")).distinct()
-    place = F.row_number().over(Window.partitionBy("s_lang").orderBy(F.xxhash64("s_id"), "s_id"))
-    ids = scratch.keep(ids.withColumn("place", place).where(F.col("place") <= rows_per_language), "sample")
+    # The smallest hashes of each of many parts of a language first, so that no task ranks a language whole.
+    ids = ids.withColumn("order", F.xxhash64("s_id")).withColumn("share", F.pmod(F.xxhash64("s_id", F.lit(1)), F.lit(256)))
+    for keys in (["s_lang", "share"], ["s_lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("order", "s_id"))
+        ids = ids.withColumn("place", place).where(F.col("place") <= rows_per_language).drop("place")
+    ids = scratch.keep(ids.select("s_id", "s_lang"), "sample")
     rows = labelled.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.join(ids, (rows.doc_id == ids.s_id) & (rows.lang == ids.s_lang), "left_semi").select("lang", "text")
 
