@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from entitymart.llm.common import Scratch
+
 #: Rows whose words are looked up together, in characters of text.
 CHUNK = 1 << 20
 #: Words that a worker remembers before it starts anew.
@@ -118,7 +120,8 @@ def length_histogram(lengths: DataFrame, width: int = 1024) -> DataFrame:
     lengths. An empty table gives no rows.
     """
     counts = lengths.groupBy(F.col("n_tokens").alias("limit")).agg(F.count("*").alias("n_docs"))
-    counts = counts.withColumn("range", F.floor(F.col("limit") / width))
+    # Read twice below; the encoding behind it runs once.
+    counts = Scratch(lengths.sparkSession, "histogram").keep(counts.withColumn("range", F.floor(F.col("limit") / width)), "counts")
     ranges = counts.groupBy("range").agg(F.sum("n_docs").alias("d"), F.sum(F.col("limit") * F.col("n_docs")).alias("t"))
     above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
     over_all = Window.partitionBy(F.lit(0)).orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
