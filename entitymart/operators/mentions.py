@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from entitymart import fixed
 from entitymart.functions.text import json_list, match_key, mention_text, record_url
 from entitymart.operators.entities import Names, finish_links, mention_names
-from entitymart.operators.lookup import MAX_BROADCAST_BYTES, lookup_join, total_bytes
+from entitymart.operators.lookup import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join, total_bytes
 from entitymart.operators.ordering import ORD
 
 
@@ -41,9 +41,18 @@ def phrases(run: Column, sizes: list[int]) -> Column:
 
 @dataclass(frozen=True)
 class MentionNames(Names):
-    """Names to search for, with the numbers of words they have."""
+    """Names to search for, with the numbers of words they have.
+
+    ``starts`` holds a hash of the words each name starts with, if those hashes fit a broadcast.
+    """
 
     sizes: list[int]
+    starts: DataFrame | None
+
+
+def start_of(run: str, sizes: list[int]) -> Column:
+    """Hash of as many first words as the shortest name has."""
+    return F.xxhash64(first_words(F.col(run), sizes[0])).alias("_start")
 
 
 def searched_names(entities: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> MentionNames:
@@ -53,35 +62,32 @@ def searched_names(entities: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> Men
     )
     n_words = F.size(F.split("normalizedName", " "))
     size, found = lookup.agg(total_bytes(lookup), F.collect_set(n_words)).first()
-    return MentionNames(lookup, size <= limit, sorted(found) or [1])
+    sizes = sorted(found) or [1]
+    starts = lookup.select(start_of("normalizedName", sizes)).distinct()
+    # names that fit have starts that fit
+    few = size <= limit or fits_broadcast(starts, limit)
+    return MentionNames(lookup, size <= limit, sizes, starts if few else None)
 
 
 def longest_mentions(texts: DataFrame, names: MentionNames) -> DataFrame:
     """The longest name in each text, the earliest entity among equals.
 
     ``texts`` has ``_ord`` (unique), ``text`` and further columns, which are
-    kept. While the names fit a broadcast, all matching is done in the task that
-    reads the text: windows that do not start like any name are dropped by a
-    semi-join, the others are compared for each name size, and only hits are
-    shuffled. Beyond that each distinct phrase of a record travels, salted, with
-    the record's order and kept columns; the order need not be stable between runs.
+    kept. Runs of words that do not start like any name are dropped by a semi-join
+    with hashes of the names' starts, in the task that reads the text as long as
+    the hashes fit a broadcast; the others are compared for each name size. While
+    the names fit too, only hits are shuffled; beyond that what passed travels,
+    salted, with the record's order and kept columns; the order need not be stable
+    between runs.
     """
     lookup, sizes = names.lookup, names.sizes
     carried = [c for c in texts.columns if c not in (ORD, "text")]
     # the normalised text is a column of its own, so that it is made once per record
     normal = texts.select(ORD, *carried, match_key(F.col("text")).alias("_text"))
-    runs = windows(F.col("_text"), sizes[-1])
-    if names.small:
-        starts = lookup.select(first_words(F.col("normalizedName"), sizes[0]).alias("_start")).distinct()
-        grams = (
-            normal.select(ORD, *carried, F.explode(runs).alias("_run"))
-            .withColumn("_start", first_words(F.col("_run"), sizes[0]))
-            .join(F.broadcast(starts), "_start", "left_semi")
-            .select(ORD, *carried, F.explode(phrases(F.col("_run"), sizes)).alias("normalizedName"))
-        )
-    else:
-        every = F.flatten(F.transform(runs, lambda run: phrases(run, sizes)))
-        grams = normal.select(ORD, *carried, F.explode(F.array_distinct(every)).alias("normalizedName"))
+    runs = normal.select(ORD, *carried, F.explode(windows(F.col("_text"), sizes[-1])).alias("_run"))
+    if names.starts is not None:
+        runs = runs.withColumn("_start", start_of("_run", sizes)).join(F.broadcast(names.starts), "_start", "left_semi")
+    grams = runs.select(ORD, *carried, F.explode(phrases(F.col("_run"), sizes)).alias("normalizedName"))
     hits = lookup_join(grams, lookup, ["normalizedName"], [ORD], small=names.small)
     rank = F.struct(F.length("normalizedName").alias("len"), (-F.col("position")).alias("pos"))
     kept = [c for c in hits.columns if c != ORD]

@@ -142,7 +142,7 @@ def test_mentions(table, limit):
     ])
 
 
-@pytest.mark.parametrize("limit", [1 << 20, -1])
+@pytest.mark.parametrize("limit", [1 << 20, 1024, -1])  # names and starts fit a broadcast, only the starts, neither
 def test_mentions_equal_search_by_pattern(table, limit):
     """Every name searched for in every text, one by one, on random word salad."""
     rng = random.Random(7)
@@ -151,6 +151,7 @@ def test_mentions_equal_search_by_pattern(table, limit):
     companies = [phrase(1, 4) for _ in range(40)]
     texts = [phrase(0, 12) for _ in range(300)]
     names = mentions.searched_names(entities.canonical_entities(table("entityName string, source_url string", [(n, "") for n in companies])), limit)
+    assert (names.small, names.starts is not None) == (limit > 1024, limit > 0)
     hits = mentions.longest_mentions(table("text string", [(t,) for t in texts]), names)
     want = []
     ranked = sorted(enumerate(companies, 1), key=lambda e: -len(e[1]))
