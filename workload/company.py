@@ -9,10 +9,12 @@ from entitymart.functions.text import match_key, mention_text, record_url
 from entitymart.operators import analytics, dedup, entities, mentions, quality
 from entitymart.operators.ordering import ORD, first_rows, with_position
 from entitymart.plans import company
+from entitymart.sources import feeds, papers
 from entitymart.sources.jobs import union_sources
 from workload.inputs import JOBS_AS_OF, NEWS_AS_OF
+from workload.records import NEWS_RECORDS, all_feed_items
 from workload.registry import query
-from workload.sqlkit import FRESH_JOB, URL_1, job_links_of, key, q, sql, strip
+from workload.sqlkit import FRESH_JOB, URL_1, job_links_of, key, news_links_of, paper_links_of, q, sql, strip
 
 LINK = ["entityId", "entityName", "entityType", "recordType", "relationshipType", "source_url", "confidence"]
 ALL = ", ".join(f'"{c}"' for c in LINK)
@@ -317,6 +319,24 @@ def en7_intake(i):
     return company.run_with_intake(i.board_1, i.board_2, inputs, JOBS_AS_OF).analytics
 
 
+LANDED_PAPERS = paper_links_of("(SELECT _ord, title, authors, paper_url AS source_url, paper_url FROM papers WHERE source_url <> '')")
+
+
+@query(
+    "en7_landed_run",
+    sql(
+        f'SELECT "entityId", "entityName", {COUNTS} AS "totalRelationships" FROM '
+        f'(SELECT *, "relationshipType" AS t FROM (SELECT * FROM product_links UNION (SELECT * FROM ({LANDED_PAPERS})) '
+        f'UNION (SELECT * FROM ({news_links_of(f"({NEWS_RECORDS})")})) UNION {FRESH_LINKS})) GROUP BY "entityId", "entityName"'
+    ),
+)
+def en7_landed(i):
+    """Jobs, papers and news straight from board, paper-feed, news-feed and page payloads."""
+    news = feeds.news(all_feed_items(i), i.pages, NEWS_AS_OF)
+    inputs = company.Inputs(i.startups, i.products, papers.papers(i.paper_feeds, NEWS_AS_OF), news, i.jobs)
+    return company.run_with_intake(i.board_1, i.board_2, inputs, JOBS_AS_OF).analytics
+
+
 @query(
     "set1_union_of_sources",
     sql(

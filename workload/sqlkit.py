@@ -124,6 +124,26 @@ def job_links_of(table: str) -> str:
         JOIN name_lookup e ON r.k = e."normalizedName" """
 
 
+def paper_links_of(table: str) -> str:
+    return """
+        SELECT e."entityId", e."entityName", e."entityType", 'RESEARCH_PAPER' AS "recordType",
+            'MENTIONED_IN_RESEARCH' AS "relationshipType",
+            CASE WHEN r.source_url <> '' THEN r.source_url ELSE r.paper_url END AS source_url,
+            0.85::DOUBLE AS confidence
+        FROM (SELECT *, """ + key("title || ' ' || authors") + """ AS k FROM """ + table + """) r
+        JOIN mention_names e ON contains(' ' || r.k || ' ', ' ' || e."normalizedName" || ' ')
+        QUALIFY row_number() OVER (PARTITION BY r._ord ORDER BY length(e."normalizedName") DESC, e.position) = 1"""
+
+
+def news_links_of(table: str) -> str:
+    return """
+        SELECT e."entityId", e."entityName", e."entityType", 'NEWS' AS "recordType",
+            'MENTIONED_IN_NEWS' AS "relationshipType", r.source_url, 0.85::DOUBLE AS confidence
+        FROM (SELECT *, """ + key("title || ' ' || content") + """ AS k FROM """ + table + """) r
+        JOIN mention_names e ON contains(' ' || r.k || ' ', ' ' || e."normalizedName" || ' ')
+        QUALIFY row_number() OVER (PARTITION BY r._ord ORDER BY length(e."normalizedName") DESC, e.position) = 1"""
+
+
 CTE = {
     "startups": f"""
         SELECT s_suppkey AS _ord, s_name AS "entityName", 'https://dir.example/companies/' || s_suppkey AS source_url
@@ -242,20 +262,8 @@ CTE = {
         FROM (SELECT *, """ + key('"startupName"') + """ AS k FROM products) r
         JOIN name_lookup e ON r.k = e."normalizedName" """,
     "job_links": job_links_of("jobs"),
-    "paper_links": """
-        SELECT e."entityId", e."entityName", e."entityType", 'RESEARCH_PAPER' AS "recordType",
-            'MENTIONED_IN_RESEARCH' AS "relationshipType",
-            CASE WHEN r.source_url <> '' THEN r.source_url ELSE r.paper_url END AS source_url,
-            0.85::DOUBLE AS confidence
-        FROM (SELECT *, """ + key("title || ' ' || authors") + """ AS k FROM papers) r
-        JOIN mention_names e ON contains(' ' || r.k || ' ', ' ' || e."normalizedName" || ' ')
-        QUALIFY row_number() OVER (PARTITION BY r._ord ORDER BY length(e."normalizedName") DESC, e.position) = 1""",
-    "news_links": """
-        SELECT e."entityId", e."entityName", e."entityType", 'NEWS' AS "recordType",
-            'MENTIONED_IN_NEWS' AS "relationshipType", r.source_url, 0.85::DOUBLE AS confidence
-        FROM (SELECT *, """ + key("title || ' ' || content") + """ AS k FROM news) r
-        JOIN mention_names e ON contains(' ' || r.k || ' ', ' ' || e."normalizedName" || ' ')
-        QUALIFY row_number() OVER (PARTITION BY r._ord ORDER BY length(e."normalizedName") DESC, e.position) = 1""",
+    "paper_links": paper_links_of("papers"),
+    "news_links": news_links_of("news"),
     "mapped": """
         SELECT * FROM product_links UNION ALL SELECT * FROM job_links
         UNION ALL SELECT * FROM paper_links UNION ALL SELECT * FROM news_links""",
