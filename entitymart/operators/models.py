@@ -16,14 +16,13 @@ def _described(models: DataFrame, card_rows: DataFrame, model_id: Column, extrac
     """Models with ``found``, the description of their card or null.
 
     Cards are the wide table: only those of listed models are read further, and
-    each is cut to its description before it meets the models.
+    each is cut to its description before the last of a model's cards is chosen.
     """
     keyed = models.withColumn("model_id", model_id)
     wanted = keyed.select("model_id").distinct()
-    read = card_rows.select(ORD, "model_id", "readme").join(wanted, "model_id")
-    found = dedup.keep_one(read, ["model_id"], "last").select(
-        "model_id", extract(F.col("readme")).alias("found")
-    )
+    read = card_rows.select(ORD, "model_id", "readme").join(wanted, "model_id", "left_semi")
+    texts = read.select(ORD, "model_id", extract(F.col("readme")).alias("found"))
+    found = dedup.keep_one(texts, ["model_id"], "last").select("model_id", "found")
     # one description per model at most, so both sides are as large as the models:
     # a plain join, in which adaptive execution broadcasts or splits as it measures
     return keyed.join(found, "model_id", "left")

@@ -77,13 +77,13 @@ def article_texts(pages: DataFrame, items: DataFrame) -> DataFrame:
     """Article text per url, for the urls of ``items`` only.
 
     The items' distinct urls are the small side, so pages nobody asks for are
-    neither shuffled nor parsed. Of several copies of a page the last counts.
+    not parsed. Of several copies of a page the last counts; texts, not pages,
+    are ranked for that.
     """
     wanted = items.select("url").distinct()
-    found = pages.select(ORD, "url", "html").join(wanted, "url")
-    return dedup.keep_one(found, ["url"], "last").select(
-        "url", article_text(F.col("html")).alias("article")
-    )
+    found = pages.select(ORD, "url", "html").join(wanted, "url", "left_semi")
+    texts = found.select(ORD, "url", article_text(F.col("html")).alias("article"))
+    return dedup.keep_one(texts, ["url"], "last").select("url", "article")
 
 
 def news(items: DataFrame, pages: DataFrame, as_of: datetime) -> DataFrame:
