@@ -16,13 +16,27 @@ from entitymart.llm.common import Scratch
 
 #: A language's share below which a document is rejected.
 LEAST_SCORE = 0.5
+#: Columns that the stages read or change; all others only travel along.
+OWN = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def aside(docs: DataFrame) -> DataFrame:
+    """The stages' own columns, and all others in one, so that no name can clash with an operator's."""
+    others = [c for c in docs.columns if c not in OWN]
+    return docs.select(*OWN, F.struct(*others).alias("others")) if others else docs
+
+
+def back(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, in their order, from rows made of ``aside(docs)``."""
+    return rows.select(*[F.col(c) if c in OWN else F.col("others")[c].alias(c) for c in docs.columns])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; others (no letters, or no clear language) go. ``lang`` becomes the prediction."""
-    found = language.identify(docs, language.fit(docs))
+    rows = aside(docs)
+    found = language.identify(rows, language.fit(rows))
     kept = found.where((F.col("lid_lang") != "und") & (F.col("lid_score") >= LEAST_SCORE))
-    return kept.withColumn("lang", F.col("lid_lang").cast(docs.schema["lang"].dataType)).select(*docs.columns)
+    return back(kept.withColumn("lang", F.col("lid_lang").cast(docs.schema["lang"].dataType)), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +53,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with each secret in its text replaced by a mark, and ``n_chars`` brought up to date."""
-    found = secret_scan.scan(docs, redact=True)
+    found = secret_scan.scan(aside(docs), redact=True)
     changed = F.col("sec_spans") != ""
     chars = F.when(changed, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return found.withColumn("n_chars", chars).select(*docs.columns)
+    return back(found.withColumn("n_chars", chars), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn so that all sources weigh the same, each copy a row, in one random order."""
-    return mixing.mix(docs).select(*docs.columns)
+    return back(mixing.mix(aside(docs)), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,8 +51,8 @@ def uniform(seed: int, doc_id: Column) -> Column:
 def mix(documents: DataFrame, weights: DataFrame | None = None, seed: int = 11) -> DataFrame:
     """Each document as often as its draw says, all copies in one global random order.
 
-    Adds ``mix_copy`` (from 1), ``mix_rate`` and ``mix_key``, by which the result is sorted;
-    all other columns stay. The draw inverts the Poisson distribution of the source's rate
+    Adds ``mix_copy`` (from 1), ``mix_rate`` and ``mix_key``, by which the result is sorted
+    (replaced if they are there); all other columns stay. The draw inverts the Poisson distribution of the source's rate
     at a hash of the id, so it does not depend on partitions or reruns; rows that repeat an
     id draw alike. Null texts count as empty, null sources as ''. An empty table gives no
     rows. One row a source is broadcast only if Spark finds it small; else the join splits
@@ -60,9 +60,15 @@ def mix(documents: DataFrame, weights: DataFrame | None = None, seed: int = 11)
     """
     scratch = Scratch(documents.sparkSession, "mixing")
     drawn = scratch.keep(rates(documents, weights).withColumn("mix_steps", cumulative(F.col("mix_rate"))), "rates")
-    rows = documents.withColumn("mix_source", F.coalesce(F.col("source").cast("string"), F.lit(""))).withColumn("mix_u", uniform(seed, F.col("doc_id")))
+    added = ["mix_copy", "mix_rate", "mix_key"]
+    names = documents.drop(*added).columns
+    # Own names for the columns that travel along, so that none clashes with the operator's.
+    given = [f"mix_given_{k}" for k in range(len(names))]
+    doc_id, source = F.col(given[names.index("doc_id")]), F.col(given[names.index("source")])
+    rows = documents.drop(*added).toDF(*given)
+    rows = rows.withColumn("mix_source", F.coalesce(source.cast("string"), F.lit(""))).withColumn("mix_u", uniform(seed, doc_id))
     rows = rows.join(drawn, "mix_source").withColumn("mix_n", F.size(F.filter("mix_steps", lambda c: c < F.col("mix_u"))))
     copies = rows.where("mix_n > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_n"))))
-    key = F.md5(F.concat_ws(":", F.lit(f"{seed}/order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("mix_copy").cast("string")).cast("binary"))
-    copies = copies.withColumn("mix_key", key).select(*documents.columns, "mix_copy", "mix_rate", "mix_key")
-    return copies.orderBy("mix_key")
+    key = F.md5(F.concat_ws(":", F.lit(f"{seed}/order"), F.coalesce(doc_id.cast("string"), F.lit("")), F.col("mix_copy").cast("string")).cast("binary"))
+    ordered = copies.withColumn("mix_key", key).select(*given, *added).orderBy("mix_key")
+    return ordered.toDF(*names, *added)

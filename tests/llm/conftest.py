@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 #: Extra columns whose names the operators use inside.
-CLASHING = ["host", "row", "document", "id", "known", "node", "n", "bucket", "tile", "root", "rank", "at", "cell", "arc", "mix_source", "places", "sha", "part", "bin"]
+CLASHING = ["host", "row", "document", "id", "known", "node", "n", "bucket", "tile", "root", "rank", "at", "cell", "arc", "mix_source", "places", "sha", "part", "bin", "mix_rate", "mix_n", "lid_lang", "sec_spans", "sec_hex", "others", "dropped_id"]
 
 
 @pytest.fixture

@@ -1,5 +1,9 @@
 """The pipeline's stages, each on its own input, and the queries' registration."""
 
+import hashlib
+import math
+from collections import Counter
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +15,26 @@ from entitymart.llm import secret_scan
 from tests.llm.test_pairs import expected_groups
 
 
+def expected_mix(rows, seed=11):
+    """How often each row is drawn: all sources weigh the same, one Poisson draw at a hash of the id."""
+    size = Counter()
+    for r in rows:
+        size[r["source"] or ""] += len((r["text"] or "").encode()) + 1
+    out = Counter()
+    for r in rows:
+        rate = sum(size.values()) / len(size) / size[r["source"] or ""]
+        name = "" if r["doc_id"] is None else r["doc_id"]
+        u = (int(hashlib.md5(f"{seed}:{name}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        k, log, below = 0, -rate, math.exp(-rate)
+        while below < u and k < rate + 12 * math.sqrt(rate) + 20:
+            k += 1
+            log += math.log(rate / k)
+            below += math.exp(log)
+        if k:
+            out[str(r)] += k
+    return out
+
+
 def test_every_operator_has_a_query():
     names = [n for n in entry.queries() if n.startswith("op")]
     assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 11)) and len(names) == 10
@@ -46,8 +70,12 @@ def test_stages_keep_columns_and_take_effect(spark, sf, messy):
             found = secret_scan.spans(before[r["doc_id"]])
             assert (r["text"] == before[r["doc_id"]]) == (not found)
             assert r["text"] is None or r["n_chars"] == len(r["text"]) or not found
+        for c in docs.drop(*corpus_pipeline.OWN).columns:
+            values = docs.select(c).distinct().collect()
+            assert all(stage.select(c).distinct().collect() == values for stage in (kept, deduped, redacted))
         mixed = stages["mixing"](spark, docs, sf)
-        assert mixed.columns == names and mixed.count() > 0
+        assert mixed.columns == names
+        assert Counter(map(str, mixed.collect())) == expected_mix(docs.collect())
         for stage in stages.values():
             assert stage(spark, docs.limit(0), sf).collect() == []
 

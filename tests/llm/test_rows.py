@@ -128,7 +128,8 @@ def test_mixing_reaches_the_weights_and_repeats_its_draw(spark, documents):
     df = documents(rows)
     weights = spark.createDataFrame([("big", 1.0), ("small", 3.0), ("absent", 5.0)], "source string, weight double")
     mixed = mixing.mix(df, weights)
-    assert mixed.columns == [*df.columns, "mix_copy", "mix_rate", "mix_key"]
+    assert mixed.columns == [*df.drop("mix_rate").columns, "mix_copy", "mix_rate", "mix_key"]
+    assert mixed.select("mix_source", "mix_n").distinct().collect() == df.select("mix_source", "mix_n").distinct().collect()
     got = mixed.select("doc_id", "text", "source", "mix_copy", "mix_key").collect()
     size = Counter()
     for r in got:
