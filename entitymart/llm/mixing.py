@@ -22,11 +22,12 @@ def rates(documents: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     else:
         named = weights.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("mix_source"), F.col("weight").cast("double").alias("mix_weight"))
         weighed = sizes.join(named, "mix_source", "left").withColumn("mix_weight", F.greatest(F.coalesce("mix_weight", F.lit(0.0)), F.lit(0.0)))
-    total = weighed.agg(F.sum("mix_size").alias("all_size"), F.sum("mix_weight").alias("all_weight"))
-    return weighed.crossJoin(total).select(
-        "mix_source",
-        F.when(F.col("all_weight") > 0, F.col("mix_weight") / F.col("all_weight") * F.col("all_size") / F.col("mix_size")).otherwise(0.0).alias("mix_rate"),
-    )
+    weighed = Scratch(documents.sparkSession, "sources").keep(weighed, "weighed")
+    all_size, all_weight = weighed.agg(F.sum("mix_size"), F.sum("mix_weight")).first()
+    if not all_weight:
+        return weighed.select("mix_source", F.lit(0.0).alias("mix_rate"))
+    rate = F.col("mix_weight") / F.lit(all_weight) * F.lit(all_size) / F.col("mix_size")
+    return weighed.select("mix_source", rate.alias("mix_rate"))
 
 
 def cumulative(rate: Column) -> Column:
