@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from entitymart import fixed
 from entitymart.fixed import PROMPT_LONG, PROMPT_SHORT
 from entitymart.functions.text import blank_if_null, collapse, let, strip
 
@@ -79,10 +80,8 @@ def card_description_plain(readme: Column) -> Column:
 def fallback_description(model_name: Column, organization: Column) -> Column:
     """One sentence from name and publisher."""
     org = blank_if_null(organization)
-    publisher = F.when(org == "", F.lit("an AI model publisher")).otherwise(org)
-    return F.format_string(
-        "%s is an AI model published by %s and hosted on Hugging Face.", model_name, publisher
-    )
+    publisher = F.when(org == "", F.lit(fixed.NO_PUBLISHER)).otherwise(org)
+    return F.format_string(fixed.PUBLISHED_AND_HOSTED, model_name, publisher)
 
 
 def fallback_description_tagged(
@@ -93,10 +92,10 @@ def fallback_description_tagged(
     return collapse(
         F.concat_ws(
             " ",
-            F.when(org != "", F.format_string("%s is an AI model published by %s.", model_name, org))
-            .otherwise(F.format_string("%s is an AI model.", model_name)),
-            F.when(task != "", F.format_string("It is listed for the %s task.", task)),
-            F.when(library != "", F.format_string("It is available through the %s library.", library)),
+            F.when(org != "", F.format_string(fixed.PUBLISHED, model_name, org))
+            .otherwise(F.format_string(fixed.NOT_PUBLISHED, model_name)),
+            F.when(task != "", F.format_string(fixed.TASK, task)),
+            F.when(library != "", F.format_string(fixed.LIBRARY, library)),
         )
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from entitymart.fixed import BLOCKED_DOMAINS, HUB, ORGANIZATION_ALIASES, REPOSITORIES
+from entitymart.fixed import AVATAR, BLOCKED_DOMAINS, FAVICON, HUB, ORGANIZATION_ALIASES, REPOSITORIES, REPOSITORY_PATTERN
 from entitymart.functions.text import blank_if_null, strip
 
 
@@ -26,17 +26,13 @@ def is_official_site(url: Column) -> Column:
 def favicon(website: Column) -> Column:
     """Icon address of a site; blank in, blank out."""
     d = domain(website)
-    return F.when(d == "", F.lit("")).otherwise(
-        F.format_string("https://www.google.com/s2/favicons?domain=%s&sz=128", d)
-    )
+    return F.when(d == "", F.lit("")).otherwise(F.format_string(FAVICON, d))
 
 
 def avatar(organization: Column) -> Column:
     """Hub picture of an organisation; blank in, blank out."""
     org = blank_if_null(organization)
-    return F.when(org == "", F.lit("")).otherwise(
-        F.concat(F.lit(f"{HUB}api/organizations/"), org, F.lit("/avatar"))
-    )
+    return F.when(org == "", F.lit("")).otherwise(F.format_string(HUB + AVATAR, org))
 
 
 def organization_key(name: Column) -> Column:
@@ -61,8 +57,7 @@ def model_id_from_url(url: Column) -> Column:
 
 def repository_in_text(text: Column) -> Column:
     """First ``owner/name`` of a repository url in a text, or null."""
-    name = r"https?://github\.com/([A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+)"
-    return F.nullif(F.regexp_extract(text, name, 1), F.lit(""))
+    return F.nullif(F.regexp_extract(text, REPOSITORY_PATTERN, 1), F.lit(""))
 
 
 def repository_url(repository: Column) -> Column:

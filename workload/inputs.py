@@ -183,25 +183,26 @@ class Inputs:
         )
 
     @cached_property
-    def cards(self) -> DataFrame:
-        """Cards of all documents but the German ones: front matter, heading,
-        image, the text, and a heading after it."""
+    def all_cards(self) -> DataFrame:
+        """Cards of all documents: front matter, heading, image, the text, and a heading after it."""
         name = text(F.col("lang"), lit("-"), F.col("doc_id"))
-        return (
-            self.table("documents")
-            .filter("lang <> 'de'")
-            .select(
-                F.col("doc_id").alias(ORD),
-                F.concat_ws("/", F.when(F.col("lang") != "es", F.col("source")), name).alias("model_id"),
-                text(
-                    F.when(F.col("lang") == "fr", "").otherwise("---\nlicense: mit\n---\n"),
-                    lit("# Card\n\n![logo](x.png)\n[![badge](y)]\n"),
-                    F.col("text"),
-                    lit("\n## More\nEnd."),
-                ).alias("readme"),
-            )
+        return self.table("documents").select(
+            F.col("doc_id").alias(ORD),
+            "lang",
+            F.concat_ws("/", F.when(F.col("lang") != "es", F.col("source")), name).alias("model_id"),
+            text(
+                F.when(F.col("lang") == "fr", "").otherwise("---\nlicense: mit\n---\n"),
+                lit("# Card\n\n![logo](x.png)\n[![badge](y)]\n"),
+                F.col("text"),
+                lit("\n## More\nEnd."),
+            ).alias("readme"),
         )
 
+    @cached_property
+    def cards(self) -> DataFrame:
+        """Cards without the German ones, so that some models have none."""
+        return self.all_cards.filter("lang <> 'de'").drop("lang")
+
     @cached_property
     def organization_models(self) -> DataFrame:
         """Parts as models of well-known organisations, some with a url elsewhere."""

@@ -94,14 +94,14 @@ CARD_B = paragraph_sql(
 )
 
 
-@query("fn10_card_description", sql(f"SELECT _ord AS id, {CARD_A} AS description FROM cards"))
+@query("fn10_card_description", sql(f"SELECT _ord AS id, {CARD_A} AS description FROM all_cards"))
 def fn10(i):
-    return i.cards.select(F.col(ORD).alias("id"), cards.card_description(F.col("readme")).alias("description"))
+    return i.all_cards.select(F.col(ORD).alias("id"), cards.card_description(F.col("readme")).alias("description"))
 
 
-@query("fn11_card_description_plain", sql(f"SELECT _ord AS id, {CARD_B} AS description FROM cards"))
+@query("fn11_card_description_plain", sql(f"SELECT _ord AS id, {CARD_B} AS description FROM all_cards"))
 def fn11(i):
-    return i.cards.select(F.col(ORD).alias("id"), cards.card_description_plain(F.col("readme")).alias("description"))
+    return i.all_cards.select(F.col(ORD).alias("id"), cards.card_description_plain(F.col("readme")).alias("description"))
 
 
 PUBLISHER = "CASE WHEN organization = '' THEN 'an AI model publisher' ELSE organization END"

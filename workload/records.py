@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from entitymart import fixed, schemas
 from entitymart.functions import dates, html, rules, text, urls
 from entitymart.operators import dedup
-from entitymart.operators.ordering import ORD
+from entitymart.operators.entities import entity_id
+from entitymart.operators.ordering import ORD, with_position
 from entitymart.session import scratch_path
 from entitymart.sources import feeds, jobs, pages, papers, tables
 from workload.inputs import JOBS_AS_OF, NEWS_AS_OF
@@ -461,6 +462,16 @@ def src10(i):
     return pages.company_links(i.directory).select(F.col(f"{ORD}._page").alias("page_id"), "href", "name")
 
 
+@query(
+    "rk1_directory_entity_ids",
+    sql(f"SELECT printf('STARTUP-%04d', row_number() OVER (ORDER BY page_id, pos)) AS \"entityId\", href FROM ({LINKS})"),
+)
+def rk1_directory(i):
+    """Numbered by ranges of the order, as beyond the size of one task."""
+    links = with_position(pages.company_links(i.directory), one_task_rows=0)
+    return links.select(entity_id(F.col("position")).alias("entityId"), "href")
+
+
 PATH = "regexp_replace(split_part(href, '?', 1), '/+$', '')"
 STARTUPS = (
     f"SELECT 'https://www.ycombinator.com' || {PATH} AS source_url, name AS \"entityName\" FROM ({LINKS}) "

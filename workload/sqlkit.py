@@ -212,13 +212,14 @@ CTE = {
             CASE WHEN n_chars > 1000 THEN 'summarization' ELSE '' END AS pipeline_tag,
             CASE WHEN n_chars > 2000 THEN '' ELSE 'spark' END AS library_name
         FROM documents""",
-    "cards": """
-        SELECT doc_id AS _ord,
+    "all_cards": """
+        SELECT doc_id AS _ord, lang,
             CASE WHEN lang = 'es' THEN '' ELSE source || '/' END || lang || '-' || doc_id AS model_id,
             CASE WHEN lang = 'fr' THEN '' ELSE '---' || chr(10) || 'license: mit' || chr(10) || '---' || chr(10) END
             || '# Card' || chr(10) || chr(10) || '![logo](x.png)' || chr(10) || '[![badge](y)]' || chr(10) || text
             || chr(10) || '## More' || chr(10) || 'End.' AS readme
-        FROM documents WHERE lang <> 'de'""",
+        FROM documents""",
+    "cards": "SELECT * EXCLUDE (lang) FROM all_cards WHERE lang <> 'de'",
     "organization_models": f"""
         SELECT p_partkey AS _ord,
             CASE WHEN p_size > 25 THEN upper({nth(ORGANIZATIONS, 'p_partkey')})
