@@ -14,11 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entitymart import fixed
-from entitymart.functions.text import json_list, match_key, mention_text, record_url
+from entitymart.functions.text import json_list, let, match_key, mention_text, record_url
 from entitymart.operators.entities import Names, finish_links, mention_names
 from entitymart.operators.lookup import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join, total_bytes
 from entitymart.operators.ordering import ORD
 
+#: Words of the runs that every text is cut into, and heads of longer names that one expression lists.
+RUN_WORDS, HEADS = 8, 500
+
 
 def windows(text: Column, n: int) -> Column:
     """From each word of a normalised text, the run of up to ``n`` words.
@@ -44,10 +47,12 @@ class MentionNames(Names):
     """Names to search for, with the numbers of words they have.
 
     ``starts`` holds a hash of the words each name starts with, if those hashes fit a broadcast.
+    ``heads`` are the first words of names longer than ``RUN_WORDS``, if they are few.
     """
 
     sizes: list[int]
     starts: DataFrame | None
+    heads: list[str] | None
 
 
 def start_of(run: str, sizes: list[int]) -> Column:
@@ -66,7 +71,23 @@ def searched_names(entities: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> Men
     starts = lookup.select(start_of("normalizedName", sizes)).distinct()
     # names that fit have starts that fit
     few = size <= limit or fits_broadcast(starts, limit)
-    return MentionNames(lookup, size <= limit, sizes, starts if few else None)
+    heads: list[str] | None = []
+    if sizes[-1] > RUN_WORDS:
+        head = first_words(F.col("normalizedName"), RUN_WORDS).alias("head")
+        found = lookup.filter(n_words > RUN_WORDS).select(head).distinct().limit(HEADS + 1).collect()
+        heads = [r["head"] for r in found] if len(found) <= HEADS else None
+    return MentionNames(lookup, size <= limit, sizes, starts if few else None, heads)
+
+
+def runs_of(text: Column, names: MentionNames) -> Column:
+    """The runs of words that names are compared with. Only a text that holds the head of a
+    long name is cut into runs as long as the longest; a few garbled names cost the others nothing.
+    """
+    longest = names.sizes[-1]
+    if longest <= RUN_WORDS or names.heads is None:
+        return windows(text, longest)
+    heads = F.array(*[F.lit(h) for h in names.heads])
+    return let(windows(text, RUN_WORDS), lambda w: F.when(F.arrays_overlap(w, heads), windows(text, longest)).otherwise(w))
 
 
 def longest_mentions(texts: DataFrame, names: MentionNames) -> DataFrame:
@@ -84,7 +105,7 @@ def longest_mentions(texts: DataFrame, names: MentionNames) -> DataFrame:
     carried = [c for c in texts.columns if c not in (ORD, "text")]
     # the normalised text is a column of its own, so that it is made once per record
     normal = texts.select(ORD, *carried, match_key(F.col("text")).alias("_text"))
-    runs = normal.select(ORD, *carried, F.explode(windows(F.col("_text"), sizes[-1])).alias("_run"))
+    runs = normal.select(ORD, *carried, F.explode(runs_of(F.col("_text"), names)).alias("_run"))
     if names.starts is not None:
         runs = runs.withColumn("_start", start_of("_run", sizes)).join(F.broadcast(names.starts), "_start", "left_semi")
     grams = runs.select(ORD, *carried, F.explode(phrases(F.col("_run"), sizes)).alias("normalizedName"))

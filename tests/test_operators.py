@@ -163,6 +163,19 @@ def test_mentions_equal_search_by_pattern(table, limit):
     assert values(hits, ORD, "entityId") == sorted(want) and len(want) > 100
 
 
+@pytest.mark.parametrize("limit", [1 << 20, -1])
+@pytest.mark.parametrize("heads", [500, 0])  # long names are looked for by their heads, or in all texts
+def test_mentions_of_a_very_long_name(table, monkeypatch, limit, heads):
+    monkeypatch.setattr(mentions, "HEADS", heads)
+    long = " ".join(f"word{k}" for k in range(400))
+    companies = [long, "word3 word4", " ".join(long.split()[5:14])]
+    names = mentions.searched_names(entities.canonical_entities(table("entityName string, source_url string", [(n, "") for n in companies])), limit)
+    assert (names.heads is None) == (heads == 0)
+    texts = ["so " + long + " it is", long[:-1], " ".join(long.split()[:12]), " ".join(long.split()[4:30]), "word4 word3"]
+    hits = mentions.longest_mentions(table("text string", [(t,) for t in texts]), names)
+    assert values(hits, ORD, "entityId") == [(0, "STARTUP-0001"), (1, "STARTUP-0003"), (2, "STARTUP-0002"), (3, "STARTUP-0003")]
+
+
 def test_papers_use_paper_url(table):
     names = mentions.searched_names(entities.canonical_entities(startups(table)))
     papers = table("title string, authors string, source_url string, paper_url string",
