@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entitymart import fixed
@@ -21,30 +21,41 @@ def _stripped(c: str):
     return strip(blank_if_null(F.col(c)))
 
 
+def _total() -> Column:
+    return sum((F.col(n) for n in list(COUNTS)[1:]), F.col(list(COUNTS)[0]))
+
+
+def named_counts(relationships: DataFrame, *more: Column) -> DataFrame:
+    """Four counts per entity id and name, and further aggregates.
+
+    The step holds only numbers, so it hashes and combines map-side.
+    """
+    rows = relationships.filter(is_present(F.col("entityId"))).withColumns(
+        {"entityId": _stripped("entityId"), "entityName": _stripped("entityName"), "_type": _stripped("relationshipType")}
+    )
+    counts = [F.count_if(F.col("_type") == t).alias(n) for n, t in COUNTS.items()]
+    return rows.groupBy("entityId", "entityName").agg(*counts, *more)
+
+
 def entity_analytics(relationships: DataFrame) -> DataFrame:
     """Four counts and their total per entity; the name is the last one seen.
 
-    Counted per (entity, name) first: that step holds only numbers, so it hashes
-    and combines map-side, and leaves a table of a few rows per entity from
-    which the last name is taken.
+    Counted per (entity, name) first, which leaves a table of a few rows per
+    entity from which the last name is taken.
     """
-    rows = relationships.filter(is_present(F.col("entityId"))).select(
-        _stripped("entityId").alias("entityId"),
-        _stripped("entityName").alias("entityName"),
-        _stripped("relationshipType").alias("type"),
-        ORD,
-    )
-    named = rows.groupBy("entityId", "entityName").agg(
-        *[F.count_if(F.col("type") == t).alias(n) for n, t in COUNTS.items()], F.max(ORD).alias("_seen")
-    )
-    total = sum((F.col(n) for n in list(COUNTS)[1:]), F.col(list(COUNTS)[0]))
     return (
-        named.groupBy("entityId")
+        named_counts(relationships, F.max(ORD).alias("_seen"))
+        .groupBy("entityId")
         .agg(F.max_by("entityName", "_seen").alias("entityName"), *[F.sum(n).alias(n) for n in COUNTS])
-        .withColumn("totalRelationships", total)
+        .withColumn("totalRelationships", _total())
     )
 
 
+def linked_analytics(relationships: DataFrame) -> DataFrame:
+    """``entity_analytics`` of rows on which an entity always has one name: no second step."""
+    return named_counts(relationships).withColumn("totalRelationships", _total())
+
+
 def relationship_counts(relationships: DataFrame) -> DataFrame:
     """Rows per relationship type, blank left out, sorted by type."""
     return (

@@ -87,7 +87,7 @@ class Linker:
 
 def count_relationships(relationships: DataFrame) -> DataFrame:
     """Entity counts of linked rows; the name is the same on every row of an entity."""
-    return analytics.entity_analytics(relationships.withColumn(ORD, F.lit(0)))
+    return analytics.linked_analytics(relationships)
 
 
 def run(inputs: Inputs, as_of: datetime) -> Outputs:

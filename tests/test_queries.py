@@ -61,6 +61,11 @@ def test_duplicates_shrink_before_the_shuffle(spark, sf):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
+def test_counts_of_linked_rows_only_hash(spark, sf):
+    text = plan(entry.queries()["ag1_products_per_company"](spark, sf))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
 def test_freshness_reaches_the_scan(spark, sf):
     text = plan(entry.queries()["flt1_fresh_jobs"](spark, sf))
     assert "GreaterThanOrEqual(o_orderdate" in text and "o_comment" not in text
