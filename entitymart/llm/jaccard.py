@@ -160,66 +160,69 @@ def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
     return out
 
 
-def linked(sets: list[np.ndarray], side: np.ndarray, percent: int) -> np.ndarray:
-    """Smallest index of each component of the exact links among ``sets``.
+def linked(sets: list[np.ndarray], side: np.ndarray, weight: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest index of each component of the exact links among ``sets``, and the weight that each set is linked with.
 
-    ``side`` 0 and 1: only links across sides count; 2: with every set. Sets are taken one
-    after the other: sizes and bit counts bound the overlap from above, and what passes is
-    intersected exactly. A linked set joins the component at once and is not compared again
-    with sets of that component.
+    ``side`` 0 and 1: only links across sides count; 2: with every set. Every pair is tested:
+    sizes and bit counts bound the overlap from above, and what passes is counted exactly.
     """
     sizes = np.array([len(s) for s in sets], np.int64)
     order = np.argsort(sizes, kind="stable")
-    sets, sizes, side = [sets[k] for k in order], sizes[order], side[order]
+    sets, sizes, side, weight = [sets[k] for k in order], sizes[order], side[order], weight[order]
     bits = 1 << max(7, min(14, int(sizes.max(initial=1)).bit_length()))
     maps = bitmaps(sets, bits)
-    label, free = np.arange(len(sets)), np.ones(len(sets), bool)
-    for seed in range(len(sets)):
-        if not free[seed]:
+    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    at, mark = np.concatenate([[0], np.cumsum(sizes)]), np.zeros(len(values), np.int32)
+    label, links = np.arange(len(sets)), np.zeros(len(sets), np.int64)
+    for x in range(len(sets) - 1):
+        high = int(np.searchsorted(sizes, sizes[x] * 100 // percent, "right"))
+        near = np.arange(x + 1, high)
+        if side[x] != 2:
+            near = near[side[near] != side[x]]
+        differ = np.bitwise_count(maps[near] ^ maps[x]).sum(axis=1, dtype=np.int64)
+        both = sizes[near] + sizes[x]
+        # |x n y| <= (|x| + |y| - differing bits) / 2
+        near = near[(100 + percent) * (both - differ) >= 2 * percent * both]
+        if not len(near):
             continue
-        free[seed], queue = False, [seed]
-        while queue:
-            x = queue.pop()
-            low = int(np.searchsorted(sizes, -(-sizes[x] * percent // 100)))
-            high = int(np.searchsorted(sizes, sizes[x] * 100 // percent, "right"))
-            near = low + np.flatnonzero(free[low:high] & ((side[low:high] != side[x]) | (side[x] == 2)))
-            differ = np.bitwise_count(maps[near] ^ maps[x]).sum(axis=1, dtype=np.int64)
-            both = sizes[near] + sizes[x]
-            # |x n y| <= (|x| + |y| - differing bits) / 2
-            near = near[(100 + percent) * (both - differ) >= 2 * percent * both]
-            for y in near.tolist():
-                found = sets[y]
-                at = np.searchsorted(sets[x], found)
-                at[at == len(sets[x])] = 0
-                common = int((sets[x][at] == found).sum())
-                if 100 * common >= percent * (len(found) + len(sets[x]) - common):
-                    free[y], label[y] = False, seed
-                    queue.append(y)
-    out = np.empty(len(sets), np.int64)
+        mark[ids[at[x] : at[x + 1]]] = 1
+        for part in np.split(near, np.flatnonzero(np.diff((np.cumsum(sizes[near]) - sizes[near]) // CHUNK)) + 1):
+            starts = np.cumsum(sizes[part]) - sizes[part]
+            places = np.repeat(at[part] - starts, sizes[part]) + np.arange(starts[-1] + sizes[part[-1]])
+            common = np.add.reduceat(mark[ids[places]], starts, dtype=np.int64)
+            met = part[100 * common >= percent * (sizes[part] + sizes[x] - common)]
+            links[x] += weight[met].sum()
+            links[met] += weight[x]
+            if (label[met] != label[x]).any():
+                to, names = np.arange(len(sets)), np.append(label[met], label[x])
+                to[names] = names.min()
+                label = to[label]
+        mark[ids[at[x] : at[x + 1]]] = 0
+    out, counts = np.empty(len(sets), np.int64), np.empty(len(sets), np.int64)
     name = np.full(len(sets), len(sets))
     np.minimum.at(name, label, order)
-    out[order] = name[label]
-    return out
+    out[order], counts[order] = name[label], links
+    return out, counts
 
 
 def _verify(percent: int):
     def verify(table: pa.Table) -> pa.Table:
-        tile, node, side = (table.column(c).to_numpy() for c in ("tile", "node", "side"))
+        tile, node, side, weight = (table.column(c).to_numpy() for c in ("tile", "node", "side", "copies"))
         blobs, out = table.column("found"), []
         order = np.lexsort((node, tile))
         order = order[np.r_[True, (tile[order][1:] != tile[order][:-1]) | (node[order][1:] != node[order][:-1])][: len(order)]]
         for rows in np.split(order, np.flatnonzero(np.diff(tile[order])) + 1):
-            name = linked([np.frombuffer(blobs[int(k)].as_py(), U64) for k in rows], side[rows], percent)
-            tied = name != np.arange(len(rows))
-            out.append(np.stack([node[rows][name[tied]], node[rows][tied]], 1))
-        edges = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pa.table([pa.array(edges[:, 0].copy()), pa.array(edges[:, 1].copy())], ["a", "b"])
+            name, links = linked([np.frombuffer(blobs[int(k)].as_py(), U64) for k in rows], side[rows], weight[rows], percent)
+            tied = links > 0
+            out.append(np.stack([node[rows][name[tied]], node[rows][tied], links[tied]], 1))
+        edges = np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+        return pa.table([pa.array(edges[:, k].copy()) for k in range(3)], ["a", "b", "links"])
 
     return verify
 
 
 def _arrays(width: int):
-    """Arrow step: shingles of the rows whose set is the one asked for, with their tiles."""
+    """Arrow step: shingles of the rows whose set is the one asked for, with their tiles and copies."""
 
     def step(batches):
         for batch in batches:
@@ -230,21 +233,23 @@ def _arrays(width: int):
                 found = shingles(raw[part[0] : part[-1]], part - part[0], width)
                 rows = [(k, s) for k, s in enumerate(found, first) if len(s) and set_name(s) == wanted[k]]
                 at = pa.array([k for k, _ in rows], pa.int64())
-                columns = [batch.column(0).take(at), pa.array([s.tobytes() for _, s in rows], pa.binary()), batch.column(2).take(at)]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "found", "tiles"])
+                columns = [batch.column(0).take(at), pa.array([s.tobytes() for _, s in rows], pa.binary()), batch.column(2).take(at), batch.column(3).take(at)]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "found", "tiles", "copies"])
 
     return step
 
 
 def near_duplicates(documents: DataFrame, width: int = 4, percent: int = 85, tile_shingles: int = TILE_SHINGLES) -> DataFrame:
-    """(doc_id, n_shingles, component_id): groups of documents linked by Jaccard >= ``percent`` / 100.
+    """(doc_id, n_shingles, component_id, n_links): groups of documents linked by Jaccard >= ``percent`` / 100.
 
     Equal sets are one node. Nodes meet in tiles: a band of sizes and one part of the
     hashed shingle space, equal in both; the bands and the number of parts leave out no
     linked pair. Nodes that meet, also through others, form a candidate group, whose sets
     are read once and verified exactly. A group with more than ``tile_shingles`` shingles is
     cut into tiles of neighbouring sizes, and every two tiles that can hold a link are
-    verified. No pairs are made inside a group of any kind, only stars and forests.
+    verified. Every two sets of a tile are compared; what leaves it is a forest and the number
+    of rows that each set is linked with. ``n_links`` counts the other rows that a row is
+    linked with, among them the rows with an equal set.
 
     Words are separated by space and tab to carriage return; A-Z is lower-cased. A null,
     empty or blank text has no shingles and is alone with its id. A null id can be linked
@@ -265,8 +270,8 @@ def near_duplicates(documents: DataFrame, width: int = 4, percent: int = 85, til
 
     # One document of each node in a group brings the shingles.
     first = F.min(F.struct((~F.col("known")).alias("nameless"), "id"))
-    asked = sets.where("n > 1").groupBy("node").agg(first.alias("f"), F.min("n").alias("n"))
-    asked = asked.select("node", F.col("f.id").alias("id"), (~F.col("f.nameless")).alias("known"), "n")
+    asked = sets.where("n > 1").groupBy("node").agg(first.alias("f"), F.min("n").alias("n"), F.count("*").alias("copies"))
+    asked = asked.select("node", F.col("f.id").alias("id"), (~F.col("f.nameless")).alias("known"), "n", "copies")
     asked = scratch.keep(asked.join(members, "node").withColumn("fine", F.floor(F.ln("n") / F.lit(float(np.log(1.05)))).cast("int")), "asked")
 
     # Tiles: a group whole, or cut by fine bands of sizes and, where one is full, by hash.
@@ -274,7 +279,7 @@ def near_duplicates(documents: DataFrame, width: int = 4, percent: int = 85, til
     big = loads.groupBy("root").agg(F.sum("load").alias("all")).where(F.col("all") > tile_shingles).select("root")
     cuts = F.ceil(F.col("load") / max(1, tile_shingles // 8)).cast("int")
     big = scratch.keep(loads.join(big, "root").select("root", "fine", cuts.alias("cuts")), "big")
-    named = ["node", "id", "known"]
+    named = ["node", "id", "known", "copies"]
     whole = asked.join(big.select("root").distinct(), "root", "left_anti")
     whole = whole.select(*named, F.col("root").alias("tile"), F.pmod(F.xxhash64("root"), F.lit(n)).cast("long").alias("bucket"), F.lit(2).alias("side"))
     cut = asked.join(big, ["root", "fine"]).withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
@@ -290,15 +295,20 @@ def near_duplicates(documents: DataFrame, width: int = 4, percent: int = 85, til
     # A document is in few tiles; the asked ones grow with the corpus, so both sides are
     # shuffled at every size, and the shingles once more, to their tiles.
     wanted = tiles.groupBy(*named).agg(F.collect_list(F.struct("tile", "bucket", "side")).alias("tiles")).hint("merge")
-    found = rows.join(wanted, ["id", "known"]).select("node", "text", "tiles")
-    found = found.mapInArrow(_arrays(width), "node long, found binary, tiles array<struct<tile: long, bucket: long, side: int>>")
-    found = found.select("node", "found", F.inline("tiles"))
-    links = found.groupBy("bucket").applyInArrow(_verify(percent), "a long, b long")
-    roots = components(scratch.keep(links, "links"), scratch, "linked")
-
-    rooted = sets.join(scratch.keep(roots, "roots"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    found = rows.join(wanted, ["id", "known"]).select("node", "text", "tiles", "copies")
+    found = found.mapInArrow(_arrays(width), "node long, found binary, tiles array<struct<tile: long, bucket: long, side: int>>, copies long")
+    found = found.select("node", "found", "copies", F.inline("tiles"))
+    links = found.groupBy("bucket").applyInArrow(_verify(percent), "a long, b long, links long")
+    links = scratch.keep(links, "links")
+    roots = components(links.select("a", "b"), scratch, "linked")
+
+    # Links with equal sets and with others; nodes without any are left out.
+    equal = sets.where("n > 0").groupBy("node").agg((F.count("*") - 1).alias("links")).where("links > 0")
+    counts = equal.unionByName(links.select(F.col("b").alias("node"), "links")).groupBy("node").agg(F.sum("links").alias("n_links"))
+    rooted = sets.join(scratch.keep(counts.join(roots, "node", "left"), "roots"), "node", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "node")).withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     rooted = scratch.keep(rooted.withColumn("doc_id", F.when(F.col("known"), F.col("id"))), "rooted")
     names = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    full = rooted.where("n > 0").join(names, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = rooted.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    full = rooted.where("n > 0").join(names, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    empty = rooted.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "n_links")
     return full.unionByName(empty)

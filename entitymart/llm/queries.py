@@ -161,7 +161,7 @@ def op6(documents: DataFrame) -> DataFrame:
     """,
 )
 def op7(documents: DataFrame) -> DataFrame:
-    return jaccard.near_duplicates(documents, 4, 85)
+    return jaccard.near_duplicates(documents, 4, 85).select("doc_id", "n_shingles", "component_id")
 
 
 @query("op8_best_fit_packing", "documents")

@@ -80,6 +80,18 @@ def test_jaccard_near_the_threshold_and_in_cut_groups(documents, tile):
     assert got_groups(jaccard.near_duplicates(df, 4, 85, tile)) == expected_groups(df.collect())
 
 
+@pytest.mark.parametrize("tile", [10**9, 200])
+def test_jaccard_counts_every_link(documents, messy, tile):
+    for df in (documents(edits()), messy):
+        rows, want = df.collect(), []
+        sets = shingle_sets([r["text"] for r in rows])
+        for k, r in enumerate(rows):
+            n = sum(1 for j in range(len(rows)) if j != k and sets[k] and sets[j] and 100 * len(sets[k] & sets[j]) >= 85 * len(sets[k] | sets[j]))
+            want.append((r["doc_id"], len(sets[k]), n))
+        got = [(r["doc_id"], r["n_shingles"], r["n_links"]) for r in jaccard.near_duplicates(df, 4, 85, tile).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str) and max(n for *_, n in want) > 2
+
+
 def test_parts_never_miss_a_linked_pair():
     rng = np.random.default_rng(1)
     for n in (2, 3, 4, 6, 7, 13, 14, 50, 333, 2000):
