@@ -8,7 +8,7 @@ of documents.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from entitymart.llm import jaccard, language, mixing, packing, secret_scan
@@ -40,15 +40,24 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of 4-word shingle sets with Jaccard >= 0.85.
+    """One document, with the smallest id, of each group of 5-word shingle sets with Jaccard >= 0.8.
 
-    Documents without words and without an id all stay; rows that repeat an id share its fate.
+    Of rows with that id, or of a group without ids, one row stays. Documents without words
+    all stay, and so do rows without an id in a group that has ids.
     """
-    scratch = Scratch(spark, "dedup")
-    groups = jaccard.near_duplicates(docs, 4, 85)
-    dropped = groups.groupBy("doc_id").agg(F.min(F.col("component_id") < F.col("doc_id")).alias("later")).where("later")
-    dropped = scratch.keep(dropped.select(F.col("doc_id").alias("dropped_id")), "dropped")
-    return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
+    scratch, rows = Scratch(spark, "dedup"), aside(docs)
+    found = jaccard.near_duplicates(docs, 5, 80).where("n_shingles > 0")
+    found = scratch.keep(found.groupBy("group_id", "doc_id", "component_id", "text_hash").agg(F.count("*").alias("n")), "found")
+    first = found.where("doc_id <=> component_id")
+    one = first.groupBy("group_id").agg(F.min("text_hash").alias("one_hash"))
+    first = first.join(one, "group_id").withColumn("thin", F.col("text_hash") == F.col("one_hash")).where("n > 1 or not thin")
+    fates = found.where("component_id < doc_id").withColumn("thin", F.lit(False)).select("doc_id", "text_hash", "thin").unionByName(first.select("doc_id", "text_hash", "thin"))
+    fates = scratch.keep(fates.select(F.col("doc_id").alias("fate_id"), F.col("text_hash").alias("fate_hash"), "thin"), "fates")
+    rows = rows.withColumn("row_hash", F.xxhash64(F.col("text").cast("string")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("fate_id")) & (F.col("row_hash") == F.col("fate_hash"))
+    order = Window.partitionBy("doc_id", "row_hash").orderBy(F.xxhash64("lang", "source", "n_chars"))
+    thinned = rows.join(fates.where("thin"), same, "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1").drop("place")
+    return back(rows.join(fates, same, "left_anti").unionByName(thinned), docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

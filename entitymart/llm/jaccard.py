@@ -18,7 +18,7 @@ CHUNK = 4 << 20
 #: Shingles of all documents that one verifying task holds.
 TILE_SHINGLES = 4_000_000
 PART = np.dtype([("key", "<u4"), ("node", "<i8")])
-DOCUMENT = np.dtype([("id", "<i8"), ("known", "u1"), ("node", "<i8"), ("n", "<i8")])
+DOCUMENT = np.dtype([("id", "<i8"), ("known", "u1"), ("node", "<i8"), ("n", "<i8"), ("hash", "<i8")])
 
 
 def shingles(raw: np.ndarray, bounds: np.ndarray, width: int) -> list[np.ndarray]:
@@ -101,6 +101,7 @@ def _signed(n: int, percent: int, width: int):
             raw, bounds = texts_of(batch.column(2))
             keys, nodes, documents, signed = [], [], np.zeros(batch.num_rows, DOCUMENT), set()
             documents["id"], documents["known"] = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            documents["hash"] = batch.column(3).to_numpy()
             for first, last in runs(bounds, CHUNK):
                 part = bounds[first : last + 1]
                 for row, found in enumerate(shingles(raw[part[0] : part[-1]], part - part[0], width), first):
@@ -125,7 +126,7 @@ def _signed(n: int, percent: int, width: int):
     return step
 
 
-_MET = "kind int, a long, b long, n long"
+_MET = "kind int, a long, b long, n long, hash long"
 
 
 def _meet(table: pa.Table) -> pa.Table:
@@ -146,8 +147,9 @@ def _meet(table: pa.Table) -> pa.Table:
             pa.array(np.concatenate([edges[:, 0], documents["id"]])),
             pa.array(np.concatenate([edges[:, 1], documents["node"]])),
             pa.array(np.concatenate([np.zeros(len(edges), np.int64), documents["n"]])),
+            pa.array(np.concatenate([np.zeros(len(edges), np.int64), documents["hash"]])),
         ],
-        ["kind", "a", "b", "n"],
+        ["kind", "a", "b", "n", "hash"],
     )
 
 
@@ -240,7 +242,7 @@ def _arrays(width: int):
 
 
 def near_duplicates(documents: DataFrame, width: int = 4, percent: int = 85, tile_shingles: int = TILE_SHINGLES) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links): groups of documents linked by Jaccard >= ``percent`` / 100.
+    """(doc_id, n_shingles, component_id, n_links, group_id, text_hash): groups of documents linked by Jaccard >= ``percent`` / 100.
 
     Equal sets are one node. Nodes meet in tiles: a band of sizes and one part of the
     hashed shingle space, equal in both; the bands and the number of parts leave out no
@@ -249,7 +251,8 @@ def near_duplicates(documents: DataFrame, width: int = 4, percent: int = 85, til
     cut into tiles of neighbouring sizes, and every two tiles that can hold a link are
     verified. Every two sets of a tile are compared; what leaves it is a forest and the number
     of rows that each set is linked with. ``n_links`` counts the other rows that a row is
-    linked with, among them the rows with an equal set.
+    linked with, among them the rows with an equal set. ``group_id`` names a group also where all its ids are
+    null, and is null without shingles; ``text_hash`` tells rows with one id apart.
 
     Words are separated by space and tab to carriage return; A-Z is lower-cased. A null,
     empty or blank text has no shingles and is alone with its id. A null id can be linked
@@ -261,10 +264,10 @@ def near_duplicates(documents: DataFrame, width: int = 4, percent: int = 85, til
     scratch, n = Scratch(spark, "jaccard"), buckets(spark)
     text = F.col("text").cast("string")
     known = F.col("doc_id").isNotNull()
-    rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("id"), known.alias("known"), text.alias("text"))
+    rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("id"), known.alias("known"), text.alias("text"), F.xxhash64(text).alias("hash"))
     signed = rows.mapInArrow(_signed(n, percent, width), "bucket int, parts binary, documents binary")
     met = scratch.keep(signed.groupBy("bucket").applyInArrow(_meet, _MET), "met")
-    sets = met.where("kind > 0").select(F.col("a").alias("id"), (F.col("kind") == 1).alias("known"), F.col("b").alias("node"), "n")
+    sets = met.where("kind > 0").select(F.col("a").alias("id"), (F.col("kind") == 1).alias("known"), F.col("b").alias("node"), "n", "hash")
     groups = components(met.where("kind = 0").select("a", "b"), scratch, "group")
     members = scratch.keep(groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()), "members")
 
@@ -309,6 +312,6 @@ def near_duplicates(documents: DataFrame, width: int = 4, percent: int = 85, til
     rooted = rooted.withColumn("root", F.coalesce("root", "node")).withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     rooted = scratch.keep(rooted.withColumn("doc_id", F.when(F.col("known"), F.col("id"))), "rooted")
     names = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    full = rooted.where("n > 0").join(names, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
-    empty = rooted.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "n_links")
+    full = rooted.where("n > 0").join(names, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links", F.col("root").alias("group_id"), F.col("hash").alias("text_hash"))
+    empty = rooted.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "n_links", F.lit(None).cast("long").alias("group_id"), F.col("hash").alias("text_hash"))
     return full.unionByName(empty)

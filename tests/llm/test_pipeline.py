@@ -80,6 +80,21 @@ def test_stages_keep_columns_and_take_effect(spark, sf, messy):
             assert stage(spark, docs.limit(0), sf).collect() == []
 
 
+def test_one_document_of_each_group_stays(spark, sf, documents):
+    words = lambda name, n=100: " ".join(f"{name}{k}" for k in range(n))
+    rows = [
+        (1, words("a")), (2, words("a") + " " + words("tail", 20)), (3, words("a", 83)),
+        (4, words("b")), (5, words("b") + " " + words("tail", 30)),
+        (6, words("c")), (6, words("c")), (6, words("c") + " more"),
+        (None, words("d")), (None, words("d")), (None, words("d") + " more"),
+        (7, ""), (7, ""), (None, None), (8, words("e")), (8, words("f")),
+    ]
+    docs = documents([(*r, "en", "s") for r in rows])
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, sf).collect()
+    groups = sorted((str(r["doc_id"]), "-" if r["text"] is None else r["text"][:1]) for r in kept)
+    assert groups == sorted([("1", "a"), ("4", "b"), ("5", "b"), ("6", "c"), ("None", "d"), ("7", ""), ("7", ""), ("None", "-"), ("8", "e"), ("8", "f")])
+
+
 def test_run(spark, sf):
     got = corpus_pipeline.run(spark, sf)
     assert got.where(F.col("length") > 4096).count() == 0 and got.count() > 100
