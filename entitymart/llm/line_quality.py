@@ -79,11 +79,12 @@ def line_entries(text: Column) -> Column:
     return F.transform(lines, entry)
 
 
-def judge(documents: DataFrame, least_documents: int = 10, share: float = 0.02, least_left: float = 0.5) -> DataFrame:
+def judge(documents: DataFrame, least_documents: int = 10, share: float = 0.02, least_left: float = 0.5, many: int | None = 1000) -> DataFrame:
     """One row per document with the counts, what its host's common lines take, and ``kept``.
 
     A line is common when more than ``least_documents`` distinct documents of its host
-    (``source``) have it, and more than ``share`` of them. Common lines are removed; a
+    (``source``) have it, and more than ``share`` of them; one in more than ``many`` distinct
+    documents of its host is common at every size of the host. Common lines are removed; a
     document that has less than ``least_left`` of its words or under 10 words left is
     depleted. ``base_failed`` documents are never kept. A null text is empty, a null source
     is a host of its own, rows that repeat id, host and text get the same result, a null id
@@ -101,7 +102,10 @@ def judge(documents: DataFrame, least_documents: int = 10, share: float = 0.02,
     lines = rows.select(document.alias("document"), "host", F.explode(F.array_distinct(F.transform(line_entries(F.col("text")), lambda e: e["line"]))).alias("line"))
     seen = lines.groupBy("host", "line", "document").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("n_documents")).where(F.col("n_documents") > least_documents)
     hosts = rows.select("host", document.alias("document")).distinct().groupBy("host").agg(F.count("*").alias("host_documents"))
-    common = seen.join(hosts, "host").where(F.col("n_documents") > share * F.col("host_documents")).select("host", "line")
+    often = F.col("n_documents") > share * F.col("host_documents")
+    if many is not None:
+        often = often | (F.col("n_documents") > many)
+    common = seen.join(hosts, "host").where(often).select("host", "line")
     common = scratch.keep(common, "common")
 
     # Entries of rows that repeat fall together before words are summed.

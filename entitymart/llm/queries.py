@@ -100,7 +100,7 @@ def op3(documents: DataFrame) -> DataFrame:
     """,
 )
 def op4(documents: DataFrame) -> DataFrame:
-    return line_quality.judge(documents)
+    return line_quality.judge(documents, many=None)
 
 
 @query(

@@ -109,6 +109,15 @@ def test_quality_equals_brute_force(corpus, documents):
     assert {r[0]: r[7] for r in got}[0] is False and {r[0]: r[7] for r in got}[9] is True and {r[0]: r[8] for r in got}[33] == 0
 
 
+def test_a_line_of_many_documents_is_common_in_a_hot_host(documents):
+    line = "all rights reserved by the owners of this site"
+    rows = [(k, (f"{line}\n" if k < 18 else "") + " ".join(f"w{k}x{j}" for j in range(40)), "en", "hot") for k in range(1000)]
+    df = documents(rows)
+    got = {r["doc_id"]: r["n_common_lines"] for r in line_quality.judge(df, many=15).collect()}
+    assert got == {k: int(k < 18) for k in range(1000)}
+    assert got_quality(line_quality.judge(df, many=None)) == expected_quality(whole(df))
+
+
 def test_quality_of_messy_and_empty_tables(messy):
     assert got_quality(line_quality.judge(messy)) == expected_quality(whole(messy))
     assert line_quality.judge(messy.limit(0)).collect() == []
