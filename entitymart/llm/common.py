@@ -127,17 +127,22 @@ def word_hashes(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     after[-1], after[:-1] = False, inside[1:]
     start = np.flatnonzero(inside & (~before | starts_here))
     length = np.flatnonzero(inside & (~after | ends_here)) + 1 - start
+    return hashed(LOWER[raw], start, length), np.searchsorted(bounds, start, "right") - 1
+
+
+def hashed(raw: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """64-bit hash of each stretch of bytes."""
     padded = np.zeros(len(raw) + 8, np.uint8)
-    padded[: len(raw)] = LOWER[raw]
+    padded[: len(raw)] = raw
     eight = np.ndarray((len(raw) + 1,), "<u8", padded.data, strides=(1,))
     value = length.astype(U64) * U64(0x9E3779B97F4A7C15)
-    live, k = np.arange(len(start)), 0
+    live, k = np.flatnonzero(length > 0), 0
     while len(live):
         part = eight[start[live] + 8 * k] & _KEPT[np.minimum(length[live] - 8 * k, 8)]
         value[live] = mixed(value[live] * U64(0xD6E8FEB86659FD93) + part)
         k += 1
         live = live[length[live] > 8 * k]
-    return value, np.searchsorted(bounds, start, "right") - 1
+    return value
 
 
 def packed(bucket: np.ndarray, records: np.ndarray, n: int) -> Iterator[tuple[int, bytes]]:

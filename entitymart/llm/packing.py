@@ -26,13 +26,16 @@ def pieces(documents: DataFrame, path: str, limit: int) -> DataFrame:
     def cut(batches):
         encoder = Encoder.of(path)
         for batch in batches:
-            doc, out = batch.column(0), [[], [], [], [], []]
-            for row, ids in enumerate(encoder.encode([t or "" for t in batch.column(1).to_pylist()])):
-                ids += END
-                for k in range(0, len(ids), 4 * limit):
-                    part = ids[k : k + 4 * limit]
-                    for values, value in zip(out, (row, k // (4 * limit), k // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                        values.append(value)
+            doc, out, row = batch.column(0), [[], [], [], [], []], 0
+            for found, bounds in encoder.runs(batch.column(1)):
+                raw = found.tobytes()
+                for first, last in zip((4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist(), strict=True):
+                    ids = raw[first:last] + END
+                    for k in range(0, len(ids), 4 * limit):
+                        part = ids[k : k + 4 * limit]
+                        for values, value in zip(out, (row, k // (4 * limit), k // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+                            values.append(value)
+                    row += 1
             columns = [doc.take(pa.array(out[0], pa.int64())), *(pa.array(v, t) for v, t in zip(out[1:], (pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 

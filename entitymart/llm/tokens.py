@@ -7,15 +7,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from entitymart.llm.common import Scratch
+from entitymart.llm.common import U64, Scratch, hashed, texts_of
+from entitymart.llm.common import runs as text_runs
 
-#: Rows whose words are looked up together, in characters of text.
-CHUNK = 1 << 20
-#: Words that a worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Bytes of neighbouring texts whose words are looked up together.
+CHUNK = 8 << 20
+#: Words, and parts of words, that a worker remembers.
+REMEMBERED, PARTS = 2_000_000, 500_000
 
 
 class Encoder:
@@ -23,8 +25,8 @@ class Encoder:
 
     A tokenizer that drops white space and marks word ends never joins what blanks
     separate, so a blank-separated word has the same ids in every text. Such words are
-    remembered, and so are their parts; only new parts reach the library. Other
-    tokenizers, and words beyond Latin-1, are encoded by the library as they are.
+    remembered under their 64-bit hashes, and so are their parts; only new parts reach
+    the library. Other tokenizers, and words beyond Latin-1, are encoded by it as they are.
     """
 
     _shared: dict[str, Encoder] = {}
@@ -39,7 +41,10 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.whole, self.words, self.parts = Tokenizer.from_file(path), {"": b""}, {}
+        self.whole, self.parts = Tokenizer.from_file(path), {}
+        # The memory of words, in the order of their hashes; the first is no word.
+        self.name, self.pool, self.turn = np.zeros(1, U64), np.zeros(0, "<u4"), 0
+        self.start, self.size, self.used = (np.zeros(1, np.int64) for _ in range(3))
         vocabulary = self.whole.get_vocab()
         self.by_word = getattr(self.whole.model, "end_of_word_suffix", None) == "</w>"
         if self.by_word:
@@ -57,7 +62,8 @@ class Encoder:
     def _encode(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, new: list[str]) -> None:
+    def _learned(self, new: list[str]) -> list[bytes]:
+        """Ids of words that the memory does not hold."""
         parts = [self.split(w.lower()) if self.plain(w) and "<|" not in w else None for w in new]
         unseen = list({p for ps in parts if ps for p in ps}.difference(self.parts))
         if unseen:
@@ -69,32 +75,72 @@ class Encoder:
             for part, end in zip(unseen, ends.tolist(), strict=True):
                 self.parts[part] = raw[start:end]
                 start = end
-        for word, ps in zip(new, parts, strict=True):
-            self.words[word] = self._encode(word) if ps is None else b"".join([self.parts[p] for p in ps])
+        return [self._encode(w) if ps is None else b"".join([self.parts[p] for p in ps]) for w, ps in zip(new, parts, strict=True)]
+
+    def _places(self, distinct: pa.Array) -> np.ndarray:
+        """Rows of the memory that hold the distinct words; new ones are learned first."""
+        raw, bounds = texts_of(distinct)
+        name = hashed(raw, bounds[:-1], np.diff(bounds))
+        at = np.searchsorted(self.name, name)
+        known = self.name[np.minimum(at, len(self.name) - 1)] == name
+        if not known.all():
+            new, which = np.unique(name[~known], return_index=True)
+            found = self._learned(distinct.take(pa.array(np.flatnonzero(~known)[which])).to_pylist())
+            size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            into = np.searchsorted(self.name, new)
+            self.start = np.insert(self.start, into, len(self.pool) + np.cumsum(size) - size)
+            self.name, self.size, self.used = np.insert(self.name, into, new), np.insert(self.size, into, size), np.insert(self.used, into, 0)
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(found), "<u4")])
+            at = np.searchsorted(self.name, name)
+        self.turn += 1
+        self.used[at] = self.turn
+        return at
+
+    def _forget(self) -> None:
+        """Half of the words go once there are more than REMEMBERED, the longest unused first."""
+        if len(self.name) > REMEMBERED:
+            kept = np.sort(np.argsort(self.used, kind="stable")[len(self.used) // 2 :])
+            size = self.size[kept]
+            start = np.cumsum(size) - size
+            self.pool = self.pool[np.repeat(self.start[kept] - start, size) + np.arange(size.sum())]
+            self.name, self.size, self.used, self.start = self.name[kept], size, self.used[kept], start
+        if len(self.parts) > PARTS:
+            self.parts = {}
+
+    def runs(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For runs of neighbouring texts: their ids end to end, and the n + 1 bounds; null is empty.
+
+        A run's words become numbers of its distinct words; only those are looked up,
+        and ids are laid out by taking each number's ids from one array.
+        """
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        for first, last in text_runs(bounds - bounds[0], CHUNK):
+            part = texts.slice(first, last - first)
+            if not self.by_word:
+                found = [self._encode(t) for t in part.to_pylist()]
+                yield np.frombuffer(b"".join(found), "<u4"), np.cumsum([0, *map(len, found)]) // 4
+                continue
+            split = pc.split_pattern(pc.replace_substring(part, "\n", " "), " ")
+            words = split.flatten().dictionary_encode()
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(), dtype=np.int64)])
+            word = self._places(words.dictionary)[words.indices.to_numpy()]
+            sizes = self.size[word]
+            upto = np.concatenate([[0], np.cumsum(sizes)])
+            places = np.repeat(self.start[word] - upto[:-1], sizes)
+            places += np.arange(len(places))
+            yield self.pool[places], upto[ends]
+            self._forget()
+
+    def lengths(self, texts: pa.Array) -> np.ndarray:
+        """How many ids each text has."""
+        return np.concatenate([np.zeros(0, np.int64), *[np.diff(bounds) for _, bounds in self.runs(texts)]])
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text."""
-        if not self.by_word:
-            yield from (self._encode(t) for t in texts)
-            return
-        first = 0
-        while first < len(texts):
-            last, size = first, 0
-            while last < len(texts) and (last == first or size + len(texts[last]) <= CHUNK):
-                size += len(texts[last])
-                last += 1
-            split = [t.replace("\n", " ").split(" ") for t in texts[first:last]]
-            if len(self.words) > REMEMBERED:
-                self.words = {"": b""}
-            if len(self.parts) > REMEMBERED:
-                self.parts = {}
-            new = set().union(*split).difference(self.words)
-            if new:
-                self._learn(list(new))
-            look = self.words.__getitem__
-            for words in split:
-                yield b"".join(map(look, words))
-            first = last
+        for ids, bounds in self.runs(pa.array(texts, pa.large_string())):
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                yield ids[a:b].tobytes()
 
 
 def encoded_lengths(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -103,9 +149,7 @@ def encoded_lengths(documents: DataFrame, path: str, text: str = "text") -> Data
     def count(batches):
         encoder = Encoder.of(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            sizes = np.fromiter((len(ids) // 4 for ids in encoder.encode(texts)), np.int64, len(texts))
-            yield pa.RecordBatch.from_arrays([pa.array(sizes)], ["n_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(encoder.lengths(batch.column(0)))], ["n_tokens"])
 
     return documents.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "n_tokens long")
 
