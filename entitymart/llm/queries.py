@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from entitymart.llm import embedding_dedup, jaccard, language, line_quality, mixing, packing, repeats, ring, secret_scan, tokens
+from entitymart.llm import embedding_dedup, jaccard, language, line_quality, mixing, packing, repeats, ring, secret_scan, tokens, warc
+from entitymart.llm.common import Scratch
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -177,3 +178,25 @@ def op9(documents: DataFrame) -> DataFrame:
 @query("op10_ring_shards", "documents")
 def op10(documents: DataFrame) -> DataFrame:
     return ring.shard(documents, 8)
+
+
+@query(
+    "op13_warc_archive",
+    "pages",
+    """
+    WITH p AS (
+      SELECT row_number() OVER () AS r, page_id, encode(coalesce(html, '')) AS payload, sha256(coalesce(html, '')) AS digest,
+             octet_length(encode(coalesce(html, ''))) AS size FROM pages),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY digest ORDER BY page_id NULLS LAST, r) AS place,
+             first_value(page_id) OVER (PARTITION BY digest ORDER BY page_id NULLS LAST, r) AS least FROM p)
+    SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
+           CASE WHEN size >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN size >= 100 AND place > 1 THEN least END AS refers_to, true AS digest_agrees
+    FROM ranked
+    """,
+)
+def op13(pages: DataFrame) -> DataFrame:
+    path = Scratch(pages.sparkSession, "archives").root
+    warc.archive(pages, path)
+    return warc.crawl(warc.read(pages.sparkSession, path, ["record_type", "payload_digest", "headers", "http_length", "payload"]))

@@ -37,14 +37,14 @@ def expected_mix(rows, seed=11):
 
 def test_every_operator_has_a_query():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 11)) and len(names) == 10
+    assert sorted({int(n[2:].split("_")[0]) for n in names}) == [*range(1, 11), 13] and len(names) == 11
     assert "pipeline" in entry.queries()
 
 
-@pytest.mark.parametrize("name", ["op1_embedding_near_duplicates", "op4_quality_rules", "op5_source_mixing", "op7_shingle_jaccard"])
+@pytest.mark.parametrize("name", ["op1_embedding_near_duplicates", "op4_quality_rules", "op5_source_mixing", "op7_shingle_jaccard", "op13_warc_archive"])
 def test_query_equals_sql(spark, sf, name):
     duck = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     df = entry.queries()[name](spark, sf)
     cur = duck.execute(entry.oracle_sql()[name])
