@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from entitymart.llm import embedding_dedup, jaccard, language, line_quality, mixing, packing, repeats, ring, secret_scan, tokens, warc
+from entitymart.llm import embedding_dedup, infill, jaccard, language, line_quality, mixing, packing, repeats, ring, secret_scan, tokens, warc
 from entitymart.llm.common import Scratch
 
 QUERIES: dict = {}
@@ -128,8 +129,6 @@ def op4(documents: DataFrame) -> DataFrame:
     """,
 )
 def op5(documents: DataFrame) -> DataFrame:
-    from pyspark.sql import functions as F
-
     mixed = mixing.mix(documents, None, MIX_SEED)
     source = F.coalesce(F.col("source").cast("string"), F.lit(""))
     return mixed.select("doc_id", source.alias("source"), F.col("mix_copy").alias("copy"), F.round("mix_rate", 9).alias("rate"), F.col("mix_key").alias("shuffle_key"))
@@ -180,6 +179,41 @@ def op10(documents: DataFrame) -> DataFrame:
     return ring.shard(documents, 8)
 
 
+@query(
+    "op12_fill_in_middle",
+    "documents",
+    """
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+             sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    drawn AS (
+      SELECT doc_id, t, w, len(w) AS n, ('0x' || h[1:8])::BIGINT % (len(w) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(w) + 1) AS y,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+                  WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+    cut AS (
+      SELECT *, array_to_string(w[1:least(x, y)], '') AS prefix, array_to_string(w[least(x, y) + 1:greatest(x, y)], '') AS middle,
+             array_to_string(w[greatest(x, y) + 1:], '') AS suffix FROM drawn)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM cut
+    """,
+)
+def op12(documents: DataFrame) -> DataFrame:
+    out = infill.rearrange(documents.select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        F.col("fim_units").alias("n"),
+        F.col("fim_form").alias("form"),
+        F.col("fim_prefix_chars").alias("prefix_chars"),
+        F.col("fim_middle_chars").alias("middle_chars"),
+        F.sha2(F.col("fim_text").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("fim_form"), F.col("fim_text")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 @query(
     "op13_warc_archive",
     "pages",
