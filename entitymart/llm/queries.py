@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymart.llm import embedding_dedup, infill, jaccard, language, line_quality, mixing, packing, repeats, ring, secret_scan, tokens, warc
+from entitymart.llm import collocations, embedding_dedup, infill, jaccard, language, line_quality, mixing, packing, repeats, ring, secret_scan, tokens, warc
 from entitymart.llm.common import Scratch
 
 QUERIES: dict = {}
@@ -179,6 +179,40 @@ def op10(documents: DataFrame) -> DataFrame:
     return ring.shard(documents, 8)
 
 
+@query(
+    "op11_phrase_collocations",
+    "documents",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    piece AS (SELECT r, lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+    w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+    total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+    place AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w WHERE len(w) > 0),
+    gram AS (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k FROM place, (VALUES (1), (2), (3), (4)) AS s(k) WHERE i + k - 1 <= len(w)),
+    f AS (SELECT lang, phrase, k, count(*) AS f FROM gram GROUP BY lang, phrase, k HAVING count(*) >= 30),
+    candidate AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+    cut AS (SELECT *, unnest(range(1, k)) AS c FROM candidate),
+    part AS (SELECT lang, phrase, k, a, c, array_to_string(w[1:c], ' ') AS one, array_to_string(w[c + 1:], ' ') AS two FROM cut),
+    score AS (
+      SELECT part.lang, part.phrase, part.k, a, c, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f)::HUGEINT)::BIGINT AS score
+      FROM part JOIN f x ON x.lang = part.lang AND x.phrase = one JOIN f y ON y.lang = part.lang AND y.phrase = two),
+    best AS (SELECT * FROM score QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+    inside AS (
+      SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+      FROM candidate, (VALUES (2), (3)) AS s(m), (VALUES (1), (2), (3)) AS o(i) WHERE m < k AND i + m - 1 <= k),
+    most AS (SELECT lang, phrase, max(a) AS most FROM inside GROUP BY lang, phrase),
+    ranked AS (
+      SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, encode(best.phrase)) AS rank
+      FROM best LEFT JOIN most ON most.lang = best.lang AND most.phrase = best.phrase WHERE most IS NULL OR 100 * most < 80 * a)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+    """,
+)
+def op11(documents: DataFrame) -> DataFrame:
+    return collocations.mine(documents, 30, 80, 2000)
+
+
 @query(
     "op12_fill_in_middle",
     "documents",
