@@ -21,8 +21,8 @@ from entitymart.llm.sketch import common
 
 #: Words of the longest phrase.
 LONGEST = 4
-#: Bytes of texts whose n-grams one automaton counts.
-SHARD = 12 << 20
+#: Bytes of texts whose n-grams a shard counts, and for which there is one range of prefixes.
+SHARD, RANGE = 4 << 20, 12 << 20
 #: Bytes of an average word with its blank: sets the sketch's size only.
 WORD_BYTES = 6
 BREAK, BLANK = np.zeros(256, bool), np.zeros(256, bool)
@@ -304,11 +304,11 @@ def _counted(n: int, sketch):
                 single = np.full((len(distinct), LONGEST), -1)
                 single[:, 0] = np.arange(len(distinct))
                 here = np.flatnonzero(on[at])
-                grams = np.full((len(name), LONGEST), -1)
+                at_long = np.flatnonzero(size > 1)
+                long = np.full((len(at_long), LONGEST), -1)
                 for k in range(LONGEST):
-                    grams[: max(0, len(name) - k), k] = number[k:]
-                    grams[size <= k, k] = -1
-                long = grams[size > 1]
+                    there = size[at_long] > k
+                    long[there, k] = number[at_long[there] + k]
                 for kind, (gram, counts) in ((SINGLE, (single[here], np.bincount(number, minlength=len(distinct))[here])), (LONG, summed(long, np.ones(len(long), np.int64)))):
                     rows += [(kind, *r) for r in _automata(gram, counts, lang[at], names, distinct, part, start[at], length[at], n)]
                 columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.binary()))]
@@ -472,7 +472,7 @@ def part_counts(documents: DataFrame, least: int = 30) -> tuple[DataFrame, DataF
     scratch = Scratch(spark, "collocations")
     rows = documents.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("text is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, min(buckets(spark), total // SHARD + 1))
+    n = max(1, min(buckets(spark), total // RANGE + 1))
 
     def items(batch):
         for *_, piece, _, name, _ in _read(batch):

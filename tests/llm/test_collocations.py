@@ -48,6 +48,7 @@ def test_phrases_equal_plain_counting(corpus, monkeypatch, bits):
     monkeypatch.setattr(sketch, "SLICE_BITS", bits)
     monkeypatch.setattr(sketch, "MOST_BITS", max(bits, 4))
     monkeypatch.setattr(collocations, "SHARD", 60_000)
+    monkeypatch.setattr(collocations, "RANGE", 60_000)
     rows = [(r["lang"], r["text"]) for r in corpus.select("lang", "text").collect()]
     assert got(collocations.mine(corpus)) == expected(rows)
     assert got(collocations.mine(corpus, 5, 60, None)) == expected(rows, 5, 60, 10**9) and len(expected(rows, 5)) > 500
