@@ -155,13 +155,14 @@ def op6(documents: DataFrame) -> DataFrame:
       SELECT a.r AS a, b.r AS b FROM one a JOIN one b ON a.g = b.g AND a.r <> b.r JOIN size x ON x.r = a.r JOIN size y ON y.r = b.r
       GROUP BY a.r, b.r, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
     reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
-    least AS (SELECT reach.a, min(d.doc_id) AS m FROM reach JOIN d ON d.r = reach.b GROUP BY reach.a)
-    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
-    FROM d LEFT JOIN size USING (r) LEFT JOIN least ON least.a = d.r
+    least AS (SELECT reach.a, min(d.doc_id) AS m FROM reach JOIN d ON d.r = reach.b GROUP BY reach.a),
+    counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, coalesce(n_links, 0) AS n_links
+    FROM d LEFT JOIN size USING (r) LEFT JOIN least ON least.a = d.r LEFT JOIN counts ON counts.a = d.r
     """,
 )
 def op7(documents: DataFrame) -> DataFrame:
-    return jaccard.near_duplicates(documents, 4, 85).select("doc_id", "n_shingles", "component_id")
+    return jaccard.near_duplicates(documents, 4, 85).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @query("op8_best_fit_packing", "documents")

@@ -92,17 +92,88 @@ def test_jaccard_counts_every_link(documents, messy, tile):
         assert sorted(got, key=str) == sorted(want, key=str) and max(n for *_, n in want) > 2
 
 
-def test_parts_never_miss_a_linked_pair():
+@pytest.mark.parametrize("tile", [10**9, 200])
+def test_jaccard_by_five_words_and_80_percent(documents, messy, corpus, tile):
+    for df in (documents(edits(9)), messy, corpus):
+        rows = df.select("doc_id", "text").collect()
+        sets = shingle_sets([r["text"] for r in rows], 5)
+        links = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+        count = np.bincount(np.array(links, int).ravel(), minlength=len(rows))
+        root, least = roots(len(rows), links), {}
+        for r, k in zip(rows, root, strict=True):
+            if r["doc_id"] is not None:
+                least[k] = min(least.get(k, r["doc_id"]), r["doc_id"])
+        want = [(r["doc_id"], len(s), least.get(k) if s else r["doc_id"], int(c)) for r, s, k, c in zip(rows, sets, root, count, strict=True)]
+        got = [(r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in jaccard.near_duplicates(df, 5, 80, tile).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("percent", [80, 85, 50])
+def test_prefixes_never_miss_a_linked_pair(percent):
     rng = np.random.default_rng(1)
+    level = lambda x: ((x >> np.uint64(7)) % np.uint64(5) // np.uint64(2)).astype(np.uint8)
+    met = 0
     for n in (2, 3, 4, 6, 7, 13, 14, 50, 333, 2000):
-        for _ in range(20):
+        for _ in range(40):
             x = rng.integers(0, 2**63, n).astype(np.uint64)
-            d = int(0.15 / 1.85 * 2 * n)
+            d = int((100 - percent) / (100 + percent) * 2 * n)
             y = np.concatenate([x[d // 2 :], rng.integers(0, 2**63, d - d // 2).astype(np.uint64)])
             x, y = np.unique(x), np.unique(y)
             common = len(np.intersect1d(x, y))
-            if 100 * common >= 85 * (len(x) + len(y) - common) and len(x) > 1:
-                assert np.intersect1d(jaccard.part_keys(x, 85), jaccard.part_keys(y, 85)).size
+            if 100 * common >= percent * (len(x) + len(y) - common) and len(x) > 1:
+                met += 1
+                # What both have, no sketch takes for unshared.
+                shared = [np.where(np.isin(a, b), np.maximum(level(a), 1), level(a)) for a, b in ((x, y), (y, x))]
+                assert np.intersect1d(jaccard.prefix(x, shared[0], percent), jaccard.prefix(y, shared[1], percent)).size
+    assert met > 100
+
+
+def test_bit_counts_leave_no_linked_pair_out():
+    rng = np.random.default_rng(4)
+    for percent in (80, 85):
+        sets = []
+        for n in (2, 5, 60, 127, 128, 130, 700):
+            base = rng.integers(0, 2**63, n).astype(np.uint64)
+            sets += [np.unique(np.concatenate([base[int(rng.integers(0, max(1, n // 10))) :], rng.integers(0, 2**63, int(rng.integers(0, max(1, n // 12)))).astype(np.uint64)])) for _ in range(12)]
+        sets = [s for s in sets if len(s)]
+        order = rng.permutation(len(sets))
+        sets = [sets[k] for k in order]
+        maps = [jaccard.bitmaps([s], jaccard.bits_of(len(s)))[0].tobytes() for s in sets]
+        sizes = np.array([len(s) for s in sets])
+        for side in (np.full(len(sets), 2), rng.integers(0, 2, len(sets))):
+            label = jaccard.alike(maps, sizes, side, percent)
+            linked = 0
+            for i in range(len(sets)):
+                for j in range(i):
+                    common = len(np.intersect1d(sets[i], sets[j]))
+                    if (side[i] == 2 or side[i] != side[j]) and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                        linked += 1
+                        assert label[i] == label[j]
+            assert linked > 20 and len(set(label.tolist())) > 4
+
+
+def test_stock_phrases_bring_nothing_together(spark, documents):
+    """A phrase in all documents and passages in many: groups hold true links only, and few rows are compared."""
+    rng = np.random.default_rng(2)
+    stock = " ".join(f"stock{k}" for k in range(50))
+    passages = [" ".join(f"p{j}w{k}" for k in range(50)) for j in range(40)]
+    rows, true = [], 0
+    for k in range(1500):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, int(rng.integers(60, 300)))]
+        picked = [passages[int(j)] for j in rng.integers(0, 40, 2)]
+        rows.append((len(rows), " ".join([*words[:30], stock, *picked, *words[30:]]), "en", "s"))
+        if k % 50 == 0:
+            rows += [(len(rows) + i, rows[-1][1] + f" tail{i}", "en", "s") for i in range(2)]
+            true += 3
+    df = documents(rows)
+    text = F.col("text")
+    plain = df.select(F.col("doc_id").alias("id"), F.lit(True).alias("known"), text.alias("text"), F.xxhash64(text).alias("hash"))
+    scratch = Scratch(spark, "stock")
+    sets, found, members = jaccard.candidates(plain, scratch, 5, 80)
+    assert members.count() == true and members.groupBy("root").count().agg(F.max("count")).first()[0] == 3
+    assert spark.read.parquet(f"{scratch.root}/shared").count() < 3 * len(rows)
+    out = jaccard.near_duplicates(df, 5, 80)
+    assert out.where("n_links > 0").count() == true and out.where("n_links > 2").count() == 0
 
 
 def test_jaccard_of_messy_and_empty_tables(messy):
