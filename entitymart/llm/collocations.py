@@ -22,7 +22,7 @@ from entitymart.llm.sketch import common
 #: Words of the longest phrase.
 LONGEST = 4
 #: Bytes of texts whose n-grams a shard counts, and for which there is one range of prefixes.
-SHARD, RANGE = 4 << 20, 12 << 20
+SHARD, RANGE = 4 << 20, 32 << 20
 #: Bytes of an average word with its blank: sets the sketch's size only.
 WORD_BYTES = 6
 BREAK, BLANK = np.zeros(256, bool), np.zeros(256, bool)
@@ -168,24 +168,30 @@ class Automaton:
         return weight
 
     def to_bytes(self) -> bytes:
-        """Words joined by blanks, which none holds, and the arcs as 32-bit and 64-bit numbers."""
-        text = b" ".join(self.vocabulary)
-        top = np.array([len(text), len(self.vocabulary), len(self.arcs), *map(len, self.arcs)], "<i8").tobytes()
-        body = [b"".join((a[:, [0, 1, 3]].astype("<i4").tobytes(), a[:, 2].astype("<i8").tobytes())) for a in self.arcs]
-        return b"".join([top, *body, text])
+        """Words joined by blanks, which none holds, and the columns of the arcs as the narrowest numbers, compressed."""
+        text, columns = b" ".join(self.vocabulary), []
+        for arc in self.arcs:
+            for column in (np.diff(arc[:, 0], prepend=0), arc[:, 1], arc[:, 2], arc[:, 3]):
+                kind = next(t for t in ("<u1", "<u2", "<u4", "<i8") if column.max(initial=0) < 1 << (63 if t == "<i8" else 8 * int(t[2])))
+                columns.append((int(kind[2]), column.astype(kind).tobytes()))
+        sizes = [x for width, raw in columns for x in (width, len(raw) // width)]
+        top = np.array([len(self.vocabulary), len(self.arcs), *sizes], "<i8").tobytes()
+        raw = top + b"".join(x for _, x in columns) + text
+        return np.array([len(raw)], "<i8").tobytes() + pa.compress(raw, "zstd", asbytes=True)
 
     @classmethod
     def from_bytes(cls, blob: bytes) -> Automaton:
-        size, n_words, depth = np.frombuffer(blob, "<i8", 3).tolist()
-        lengths, at, arcs = np.frombuffer(blob, "<i8", depth, 24).tolist(), 24 + 8 * depth, []
-        for n in lengths:
-            arc = np.empty((n, 4), np.int64)
-            arc[:, [0, 1, 3]] = np.frombuffer(blob, "<i4", 3 * n, at).reshape(n, 3)
-            arc[:, 2] = np.frombuffer(blob, "<i8", n, at + 12 * n)
+        raw = pa.decompress(blob[8:], int(np.frombuffer(blob, "<i8", 1)[0]), "zstd", asbytes=True)
+        n_words, depth = np.frombuffer(raw, "<i8", 2).tolist()
+        sizes, at, arcs = np.frombuffer(raw, "<i8", 8 * depth, 16).reshape(depth, 4, 2).tolist(), 16 + 64 * depth, []
+        for columns in sizes:
+            arc = np.empty((columns[0][1], 4), np.int64)
+            for k, (width, n) in enumerate(columns):
+                arc[:, k] = np.frombuffer(raw, f"<i{width}" if width == 8 else f"<u{width}", n, at)
+                at += width * n
+            arc[:, 0] = np.cumsum(arc[:, 0])
             arcs.append(arc)
-            at += 20 * n
-        vocabulary = blob[at : at + size].split(b" ") if n_words else []
-        return cls(vocabulary, arcs)
+        return cls(raw[at:].split(b" ") if n_words else [], arcs)
 
     @classmethod
     def union(cls, automata: list[Automaton], least: int = 1) -> Automaton:
@@ -290,7 +296,7 @@ def _counted(n: int, sketch):
         frequent = sketch.value
         for batch in batches:
             for part, start, length, piece, lang, name, names in _read(batch):
-                rows = [(WORDS, str(names[k]), -1, int(c), None) for k, c in zip(*np.unique(lang, return_counts=True), strict=True)]
+                rows = [(WORDS, str(names[k]), int(c) % n, int(c), None) for k, c in zip(*np.unique(lang, return_counts=True), strict=True)]
                 on = frequent.level(name) > 0
                 pair = _pairs(name, piece)
                 goes = (pair != 0) & (frequent.level(pair) > 0)
@@ -338,14 +344,17 @@ def _automata(grams, counts, lang, names, distinct, part, start, length, n) -> l
 
 
 def _united(least: int):
-    """Grouped step: one automaton of each language and kind in a range, without phrases below ``least``."""
+    """Grouped step: one automaton of each language and kind in a range, without phrases below ``least``, and sums of words."""
 
     def unite(table: pa.Table) -> pa.Table:
         parts: dict = {}
-        for kind, lang, blob in zip(*(table.column(c).to_pylist() for c in ("kind", "lang", "automaton")), strict=True):
-            parts.setdefault((kind, lang), []).append(blob)
+        for kind, lang, n, blob in zip(*(table.column(c).to_pylist() for c in ("kind", "lang", "n", "automaton")), strict=True):
+            parts.setdefault((kind, lang), []).append(n if kind == WORDS else blob)
         where, out = table.column("range")[0].as_py() if len(table) else 0, []
         for (kind, lang), blobs in parts.items():
+            if kind == WORDS:
+                out.append((kind, lang, where, None, np.array([sum(blobs)], ">i8").tobytes()))
+                continue
             whole = Automaton.union([Automaton.from_bytes(b) for b in blobs], least)
             if len(whole.arcs[0]):
                 out.append((kind, lang, where, whole.to_bytes(), None))
@@ -480,16 +489,15 @@ def part_counts(documents: DataFrame, least: int = 30) -> tuple[DataFrame, DataF
             yield np.concatenate([name, pair[pair != 0]])
 
     sketch = spark.sparkContext.broadcast(common(rows, items, 2 * total // WORD_BYTES, (least,), 8))
-    counted = scratch.keep(rows.mapInArrow(_counted(n, sketch), "kind int, lang string, range int, n long, automaton binary"), "shards")
-    by_range = counted.where(F.col("kind") != WORDS).groupBy("range")
-    automata = scratch.keep(by_range.applyInArrow(_united(least), _TABLE), "automata")
+    counted = rows.mapInArrow(_counted(n, sketch), "kind int, lang string, range int, n long, automaton binary")
+    automata = scratch.keep(counted.groupBy("range").applyInArrow(_united(least), _TABLE), "automata")
     long = automata.where(F.col("kind") == LONG)
     asked = long.mapInArrow(_asked(n), _TABLE)
-    answers = scratch.keep(automata.unionByName(asked).groupBy("range").applyInArrow(_answered, _TABLE), "answers")
+    answers = scratch.keep(automata.where(F.col("kind") != WORDS).unionByName(asked).groupBy("range").applyInArrow(_answered, _TABLE), "answers")
     parts = scratch.keep(long.unionByName(answers).groupBy("range").applyInArrow(_composed, _PARTS), "parts")
     scratch.drop("answers")
-    n_words = scratch.keep(counted.where(F.col("kind") == WORDS).groupBy("lang").agg(F.sum("n").alias("n")), "n_words")
-    scratch.drop("shards")
+    n = F.conv(F.hex("weights"), 16, 10).cast("long")
+    n_words = automata.where(F.col("kind") == WORDS).groupBy("lang").agg(F.sum(n).alias("n"))
     return parts, n_words
 
 
