@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from entitymart import fixed
 from entitymart.functions.dates import instant
-from entitymart.functions.html import decode_entities, fragment_text
+from entitymart.functions.html import content, decode_entities, fragment_text
 from entitymart.functions.text import (
     blank_if_null, collapse, search_keywords, strip,
 )
@@ -118,9 +118,7 @@ def searched_papers(records: DataFrame, results: DataFrame, as_of: datetime) ->
 
 def listed_papers(pages: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` papers of each listing page: url, title and authors."""
-    listing = F.regexp_extract(
-        "html", r"""(?is)<dl\s[^>]*?id\s*=\s*["']?articles["'\s>](.*?)</dl\s*>""", 1
-    )
+    listing = content(F.col("html"), r"""<dl\s[^>]*?id\s*=\s*["']?articles(?:["'\s][^>]*)?>""", "dl")
     pair = r"(?is)<dt(?:\s[^>]*)?>.*?</dt\s*>\s*<dd(?:\s[^>]*)?>.*?</dd\s*>"
     pairs = F.slice(F.regexp_extract_all(listing, F.lit(pair), F.lit(0)), 1, n)
 
@@ -128,9 +126,7 @@ def listed_papers(pages: DataFrame, n: int = 5) -> DataFrame:
         return F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*["']([^"']*)["']""", 1)
 
     def part(css: str) -> Column:
-        return F.regexp_extract(
-            F.col("pair"), rf"""(?is)<div\s[^>]*class\s*=\s*["'][^"']*\b{css}\b[^"']*["'][^>]*>(.*?)</div\s*>""", 1
-        )
+        return content(F.col("pair"), rf"""<div\s[^>]*class\s*=\s*["'][^"']*\b{css}\b[^"']*["'][^>]*>""", "div")
 
     link = F.regexp_extract(
         F.col("pair"), r"""(?is)<a\s[^>]*title\s*=\s*["']Abstract["'][^>]*>""", 0

@@ -243,6 +243,51 @@ def test_huge_ages_are_no_dates(one, raw):
     assert one(lambda c: dates.parse_date(c, F.lit("2024-01-30 00:00:00").cast("timestamp")), raw) is None
 
 
-def test_paragraphs_that_are_not_closed_end_at_the_next_end_tag(one):
-    """A page without an article: what stands between the first start and the first end is one paragraph."""
-    assert one(html.article_text, "<body><p>one<p>two</p><p>three</p></body>") == "one two three"
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        # two and three levels of one element
+        ("<article>a<article>b</article>c</article><p>d</p>", "a b c"),
+        ("<article>a<article>b<article>c</article>d</article>e</article>f", "a b c d e"),
+        ("<div><article><div>a</div><p>b</p></article></div><article>z</article>", "a b"),
+        ("<nav>x<nav>y<nav>z</nav>y</nav>x</nav><p>kept</p>", "kept"),
+        ("<header>h<div><nav>n</nav></div><header>i</header>j</header><p>kept</p>", "kept"),
+        # an article inside what is dropped is none
+        ("<aside><article>no</article></aside><article>yes</article>", "yes"),
+        # an element without an end tag ends with its parent, an end tag alone ends nothing
+        ("<div><nav>x</div><p>kept</p></nav>", "kept"),
+        ("</article></nav><article>a</nav>b</article>c", "a b"),
+        ("<article>open <b>to</b> the end", "open to the end"),
+        ("<p>one</p></p><p>two</p>", "one two"),
+        # a paragraph inside another is read with it and again by itself
+        ("<body><p>one<p>two</p><p>three</p></body>", "one two three two three"),
+        ("<div><p>one</div><p>two</p>", "one two"),
+        # tags in scripts and comments, and names that only start alike
+        ("<script>'</article><nav>'</script><article>a<!-- </article> -->b</article>", "a b"),
+        ("<articles>no</articles><navy>x</navy><p>kept</p>", "kept"),
+        ("<ARTICLE class=x>A<Article>B</ARTICLE>C</article>", "A B C"),
+        ("<article/>x<p>y</p>", "y"),
+        ("", ""),
+        (None, ""),
+    ],
+)
+def test_elements_nest(one, page, want):
+    assert one(html.article_text, page) == want
+
+
+def test_dropped_elements_nest_in_visible_text(one):
+    assert one(html.visible_text, "<template>a<template>b</template>c</template><p>d<noscript>e<noscript>f</noscript>g</noscript></p>") == "d"
+    assert one(html.visible_text, "<head><title>t</title></head><body><div>x<div>y</div>z</div>") == "x y z"
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<div id=a>1<div>2<div>3</div>4</div>5</div>6", "1<div>2<div>3</div>4</div>5"),
+        ("<div id=a>1<divs></div>2", "1<divs>"),
+        ("<div id=a>1<div>2", "1<div>2"),
+        ("<div>1</div>", ""),
+    ],
+)
+def test_content_of_an_element(one, page, want):
+    assert one(lambda c: html.content(c, "<div id=a>", "div"), page) == want

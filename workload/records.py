@@ -14,7 +14,7 @@ from entitymart.sources import feeds, jobs, pages, papers, tables
 from workload.inputs import JOBS_AS_OF, NEWS_AS_OF
 from workload.registry import query
 from workload.sqlkit import (
-    FRESH_JOB, JOBS_AS_OF as JOBS_TIME, NEWS_AS_OF as NEWS_TIME, URL_1, article, collapse, fragment, official, q, rules as rule_sql,
+    FRESH_JOB, JOBS_AS_OF as JOBS_TIME, NEWS_AS_OF as NEWS_TIME, URL_1, article, collapse, drop_all, fragment, official, q, rules as rule_sql,
     sql, stamp, visible, domain,
 )
 
@@ -275,6 +275,20 @@ def fn4(i):
     return i.pages.select(F.col(ORD).alias("id"), html.article_text(F.col("html")).alias("text"))
 
 
+# Each page inside an article inside another, below furniture that nests as well.
+WRAPPED = ("<div><header>top<nav>one<nav>two</nav></nav></header><article>Start <div><article>", "</article></div> end</article><article>next</article></div>")
+BARE_PAGE = drop_all("coalesce(html, '')", [html.COMMENT, *[html.element(n) for n in html.FURNITURE]])
+
+
+@query(
+    "fn4_nested_article_text",
+    sql(f"SELECT page_id AS id, {fragment(fragment(f"'Start ' || {BARE_PAGE} || ' end'"))} AS text FROM pages"),
+)
+def fn4_nested(i):
+    page = F.concat(F.lit(WRAPPED[0]), F.coalesce("html", F.lit("")), F.lit(WRAPPED[1]))
+    return i.pages.select(F.col(ORD).alias("id"), html.article_text(page).alias("text"))
+
+
 PRICED = rule_sql("content", rules.PRICING)
 
 
