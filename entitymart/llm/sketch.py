@@ -59,7 +59,7 @@ def common(rows: DataFrame, items: Callable[[pa.RecordBatch], Iterator[np.ndarra
     estimate that only sets this number. A task sends the buckets that it met as gaps,
     one byte an item or less; counters are summed by slices of buckets.
     """
-    bits = min(MOST_BITS, max(SLICE_BITS, math.ceil(math.log2(max(1.0, n_items / load)))))
+    bits = min(MOST_BITS, max(SLICE_BITS, round(math.log2(max(1.0, n_items / load)))))
     width, slices = 1 << SLICE_BITS, 1 << (bits - SLICE_BITS)
     most = max(limits)
 
