@@ -40,6 +40,7 @@ class Model:
     languages: list[str]
     rows: dict[int, dict[str, int]]
     scores: np.ndarray
+    unseen: np.ndarray | None = None
 
     def of_word(self, word: str) -> np.ndarray:
         """Scores of one word: its own if known, else the mean over the longest known character runs."""
@@ -110,7 +111,7 @@ def fit(documents: DataFrame, rows_per_language: int = 1000, entries: int = 400_
     rows_of: dict[int, dict[str, int]] = {n: {} for n in range(LONGEST + 1)}
     for r in top:
         rows_of[r["size"]].setdefault(r["gram"], len(rows_of[r["size"]]))
-    scores, first = [], 0
+    scores, unseen, first = [], [], 0
     for n in range(LONGEST + 1):
         seen = np.zeros((len(rows_of[n]), len(languages)))
         for r in top:
@@ -118,16 +119,18 @@ def fit(documents: DataFrame, rows_per_language: int = 1000, entries: int = 400_
                 seen[rows_of[n][r["gram"]], index[r["lang"]]] = r["n"]
         all_ = np.array([totals.get((lang, n), 0) for lang in languages], float)
         scores.append(np.log((seen + 0.5) / (all_ + 0.5 * max(1, len(seen)))))
+        unseen.append(np.broadcast_to(np.log(0.5 / (all_ + 0.5 * max(1, len(seen)))), scores[-1].shape))
         rows_of[n] = {gram: first + k for gram, k in rows_of[n].items()}
         first += len(seen)
-    return Model(languages, rows_of, np.concatenate(scores) if languages else np.zeros((0, 0)))
+    return Model(languages, rows_of, np.concatenate(scores), np.concatenate(unseen)) if languages else Model(languages, rows_of, np.zeros((0, 0)))
 
 
-def scored(model: Model, texts: list[str], known: dict[str, int], table: list[np.ndarray]) -> tuple[list[str], list[float]]:
-    """Language and score of each text; ``known`` and ``table`` remember words between calls."""
-    languages, scores = ["und"] * len(texts), [0.0] * len(texts)
+def scored(model: Model, texts: list[str], known: dict[str, int], table: list[np.ndarray], own: np.ndarray | None = None) -> tuple[list[str], list[float], list[float]]:
+    """Language and score of each text, and the share of its words that are the language's own;
+    ``known`` and ``table`` remember words between calls, ``own`` says which words each language has."""
+    languages, scores, shares = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
     if not model.languages:
-        return languages, scores
+        return languages, scores, shares
     split = [LETTERS(t.lower()) for t in texts]
     if len(known) > REMEMBERED:
         known.clear()
@@ -141,39 +144,50 @@ def scored(model: Model, texts: list[str], known: dict[str, int], table: list[np
             sums = values[np.fromiter(map(look, found), np.int64, len(found))].sum(axis=0)
             best = int(sums.argmax())
             languages[k], scores[k] = model.languages[best], float(1 / np.exp(np.minimum(sums - sums[best], 0)).sum())
-    return languages, scores
+            if own is not None:
+                words = model.rows[0]
+                shares[k] = sum(1 for w in found if (row := words.get(w)) is not None and own[row, best]) / len(found)
+    return languages, scores, shares
 
 
-def identify(documents: DataFrame, model: Model) -> DataFrame:
+def identify(documents: DataFrame, model: Model, known: str | None = None) -> DataFrame:
     """All columns of ``documents`` plus ``lid_lang`` and ``lid_score`` (replaced if they are there).
 
+    ``known`` names one more column: the share of the text's words that are known words of the
+    predicted language, which unlike the score does not tend to 1 as texts get longer.
+
     Only the text is looked at, and all of it: ``und`` and 0 if it is null, empty or has no
     letter, or if the model knows no language. The score is the share of the best language
     among all, from the sums over the words. Every row is judged alone, so rows that repeat
     get the same result; an empty table gives no rows.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    documents = documents.drop("lid_lang", "lid_score")
-    schema = T.StructType([*documents.schema.fields, T.StructField("lid_lang", T.StringType()), T.StructField("lid_score", T.DoubleType())])
+    more = [known] if known else []
+    documents = documents.drop("lid_lang", "lid_score", *more)
+    schema = T.StructType([*documents.schema.fields, T.StructField("lid_lang", T.StringType()), *(T.StructField(c, T.DoubleType()) for c in ("lid_score", *more))])
     place, names = schema.names.index("text"), schema.names
 
     def predict(batches):
+        # A language has a word if it was seen there: its log frequency is above that of an unseen word.
+        own = shared.value.scores > shared.value.unseen if more and shared.value.languages else None
         known: dict[str, int] = {}
         table: list[np.ndarray] = []
         for batch in batches:
             texts = [t or "" for t in batch.column(place).to_pylist()]
             languages: list[str] = []
             scores: list[float] = []
+            shares: list[float] = []
             first = 0
             while first < len(texts):
                 last, size = first, 0
                 while last < len(texts) and (last == first or size + len(texts[last]) <= CHUNK):
                     size += len(texts[last])
                     last += 1
-                more = scored(shared.value, texts[first:last], known, table)
-                languages += more[0]
-                scores += more[1]
+                found = scored(shared.value, texts[first:last], known, table, own)
+                for all_, part in zip((languages, scores, shares), found, strict=True):
+                    all_ += part
                 first = last
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(languages, pa.string()), pa.array(scores, pa.float64())], names)
+            new = [pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(shares, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new[: 2 + len(more)]], names)
 
     return documents.mapInArrow(predict, schema)
