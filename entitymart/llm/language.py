@@ -19,6 +19,8 @@ LETTERS = re.compile(r"[^\W\d_]+").findall
 LONGEST = 5
 #: Words whose scores a worker remembers.
 REMEMBERED = 300_000
+#: Words taken for known in every text, so that a short one is not judged by a few words.
+GIVEN = 3
 #: Texts scored together, in characters.
 CHUNK = 1 << 20
 
@@ -146,7 +148,8 @@ def scored(model: Model, texts: list[str], known: dict[str, int], table: list[np
             languages[k], scores[k] = model.languages[best], float(1 / np.exp(np.minimum(sums - sums[best], 0)).sum())
             if own is not None:
                 words = model.rows[0]
-                shares[k] = sum(1 for w in found if (row := words.get(w)) is not None and own[row, best]) / len(found)
+                own_words = sum(1 for w in found if (row := words.get(w)) is not None and own[row, best])
+                shares[k] = min(1.0, (own_words + GIVEN) / len(found))
     return languages, scores, shares
 
 
@@ -154,7 +157,8 @@ def identify(documents: DataFrame, model: Model, known: str | None = None) -> Da
     """All columns of ``documents`` plus ``lid_lang`` and ``lid_score`` (replaced if they are there).
 
     ``known`` names one more column: the share of the text's words that are known words of the
-    predicted language, which unlike the score does not tend to 1 as texts get longer.
+    predicted language, with ``GIVEN`` words given to every text. Unlike the score it does not
+    tend to 1 as texts get longer.
 
     Only the text is looked at, and all of it: ``und`` and 0 if it is null, empty or has no
     letter, or if the model knows no language. The score is the share of the best language

@@ -107,7 +107,7 @@ def test_one_document_of_each_group_stays(spark, sf, documents):
 
 def test_texts_of_no_learned_language_go_however_long(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    odd = ["zkqx wvbn plrt mmkd ghtz " * n for n in (2, 50, 3000)] + ["kolme miestä lähti kaupunkiin ostamaan vaatteita mutta sade yllätti heidät " * 90]
+    odd = ["zkqx wvbn plrt mmkd ghtz " * n for n in (8, 50, 3000)] + ["kolme miestä lähti kaupunkiin ostamaan vaatteita mutta sade yllätti heidät " * 90]
     more = spark.createDataFrame([(10**6 + k, t, None, "s", len(t)) for k, t in enumerate(odd)], docs.schema)
     kept = dict(corpus_pipeline.STAGES)["language"](spark, docs.unionByName(more), sf)
     assert kept.where("doc_id >= 1000000").count() == 0
