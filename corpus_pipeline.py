@@ -38,7 +38,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A document goes if it has no letters (null and empty texts too), or if less than
     ``LEAST_KNOWN`` of its words are known words of the predicted language, a share that does
-    not depend on the text's length. Ties go to the first language by name. Rows that repeat
+    not grow with the text's length; a text of up to 20 words has too few to tell and stays. Ties go to the first language by name. Rows that repeat
     are judged alike, long texts are read whole, and an empty table gives no rows.
     """
     rows = aside(docs)
