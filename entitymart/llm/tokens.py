@@ -15,9 +15,9 @@ from entitymart.llm.common import U64, Scratch, hashed, texts_of
 from entitymart.llm.common import runs as text_runs
 
 #: Bytes of neighbouring texts whose words are looked up together.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Words, and parts of words, that a worker remembers.
-REMEMBERED, PARTS = 2_000_000, 500_000
+REMEMBERED, PARTS = 1_000_000, 200_000
 
 
 class Encoder:

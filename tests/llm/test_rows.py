@@ -284,6 +284,17 @@ def test_ids_equal_the_library(library, corpus):
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_ids_do_not_depend_on_what_is_remembered(library, corpus, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 300)
+    monkeypatch.setattr(tokens, "PARTS", 50)
+    monkeypatch.setattr(tokens, "CHUNK", 20_000)
+    texts = [r["text"] for r in corpus.limit(120).collect()]
+    encoder = tokens.Encoder(PATH)
+    for _ in range(2):
+        got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([*texts, "", *HARD])]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in [*texts, "", *HARD]]
+
+
 def test_other_tokenizers_are_encoded_by_the_library():
     path = public_tokenizers.path("byte_bpe_50k.json")
     from tokenizers import Tokenizer
