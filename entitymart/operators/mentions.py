@@ -7,7 +7,8 @@ cost follows the number of words, not records times names.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -19,18 +20,19 @@ from entitymart.operators.entities import Names, finish_links, mention_names
 from entitymart.operators.lookup import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join, total_bytes
 from entitymart.operators.ordering import ORD
 
-#: Words of the runs that every text is cut into, and heads of longer names that one expression lists.
-RUN_WORDS, HEADS = 8, 500
+#: Most bits of a bitmap of names' starts; it has 32 for each name up to that.
+MOST_BITS = 1 << 20
+#: Words that a run has; only one that starts like a longer name gets more.
+RUN_WORDS = 8
 
 
-def windows(text: Column, n: int) -> Column:
-    """From each word of a normalised text, the run of up to ``n`` words.
+def words(text: Column) -> Column:
+    return F.split(text, " ")
 
-    The pattern takes a run by looking ahead and then steps over one word, so
-    the text is walked once. Words are taken whole (``++``), which rules out
-    partial words and backtracking.
-    """
-    return F.regexp_extract_all(text, F.lit(f"(?=([^ ]++(?: [^ ]++){{0,{n - 1}}}))[^ ]++"), F.lit(1))
+
+def start_hash(hashes: Column, place: Column, k: int) -> Column:
+    """Hash of the ``k`` words from a place on (0 is the first), from the hashes of the words."""
+    return F.xxhash64(*[F.get(hashes, place + i) for i in range(k)])
 
 
 def first_words(run: Column, k: int) -> Column:
@@ -46,18 +48,64 @@ def phrases(run: Column, sizes: list[int]) -> Column:
 class MentionNames(Names):
     """Names to search for, with the numbers of words they have.
 
-    ``starts`` holds a hash of the words each name starts with, if those hashes fit a broadcast.
-    ``heads`` are the first words of names longer than ``RUN_WORDS``, if they are few.
+    ``starts`` holds a hash of the words each name starts with, if those hashes fit a
+    broadcast. ``marks`` is a bitmap of the same hashes, at most ``MOST_BITS`` whatever the names,
+    and ``heads`` one of the first ``RUN_WORDS`` words of longer names.
     """
 
     sizes: list[int]
     starts: DataFrame | None
-    heads: list[str] | None
+    marks: list[int]
+    heads: list[int]
+
+    def start(self, text: Column) -> Column:
+        """Hash of as many first words as the shortest name has."""
+        hashes = F.transform(words(text), lambda w: F.xxhash64(w))
+        return let(hashes, lambda h: start_hash(h, F.lit(0), self.sizes[0]))
+
+    def runs(self, text: Column) -> Column:
+        """From each word of a normalised text at which a name may start, a run as long as the longest name.
+
+        Words are cut and hashed once, starts are hashes of hashes, and strings are made
+        only where the bitmap lets a start through. A run has ``RUN_WORDS`` words unless they
+        may be the head of a longer name, so a few long names cost the others nothing.
+        """
+        shortest, longest = self.sizes[0], self.sizes[-1]
+        none = F.array().cast("array<int>")
+
+        def length(h: Column, i: Column) -> Column:
+            if longest <= RUN_WORDS:
+                return F.lit(longest)
+            return F.when(is_marked(start_hash(h, i, RUN_WORDS), self.heads), longest).otherwise(RUN_WORDS)
+
+        def cut(w: Column) -> Column:
+            def found(h: Column) -> Column:
+                places = F.when(F.size(w) >= shortest, F.sequence(F.lit(0), F.size(w) - shortest)).otherwise(none)
+                kept = F.filter(places, lambda i: is_marked(start_hash(h, i, shortest), self.marks))
+                return F.transform(kept, lambda i: F.array_join(F.slice(w, i + 1, length(h, i)), " "))
 
+            return let(F.transform(w, lambda x: F.xxhash64(x)), found)
 
-def start_of(run: str, sizes: list[int]) -> Column:
-    """Hash of as many first words as the shortest name has."""
-    return F.xxhash64(first_words(F.col(run), sizes[0])).alias("_start")
+        return let(words(text), cut)
+
+
+def is_marked(value: Column, marks: list[int]) -> Column:
+    """Whether a hash's bit is set in a bitmap of 64-bit words."""
+    at = F.pmod(value, F.lit(64 * len(marks)))
+    # one folded literal instead of thousands
+    bits = F.get(F.from_json(F.lit(json.dumps(marks)), "array<bigint>"), F.shiftright(at, 6).cast("int"))
+    return F.getbit(bits, F.pmod(at, F.lit(64)).cast("int")) == 1
+
+
+def bitmap(hashes: DataFrame, n: int) -> list[int]:
+    """The bits of a column of hashes, 32 for each of ``n`` up to ``MOST_BITS``, as 64-bit words."""
+    bits = min(MOST_BITS, max(64, 1 << (32 * n - 1).bit_length())) if n else 64
+    at = F.pmod(F.col(hashes.columns[0]), F.lit(bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(64)).cast("int"))
+    out = [0] * (bits // 64)
+    for row in hashes.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect():
+        out[row["word"]] = row["bits"]
+    return out
 
 
 def searched_names(entities: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> MentionNames:
@@ -65,49 +113,37 @@ def searched_names(entities: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> Men
     lookup = mention_names(entities).select(
         "normalizedName", "entityId", "entityName", "entityType", "position"
     )
-    n_words = F.size(F.split("normalizedName", " "))
-    size, found = lookup.agg(total_bytes(lookup), F.collect_set(n_words)).first()
-    sizes = sorted(found) or [1]
-    starts = lookup.select(start_of("normalizedName", sizes)).distinct()
+    n_words = F.size(words(F.col("normalizedName")))
+    size, found, n = lookup.agg(total_bytes(lookup), F.collect_set(n_words), F.count("*")).first()
+    names = MentionNames(lookup, size <= limit, sorted(found) or [1], None, [0], [0])
+    starts = lookup.select(names.start(F.col("normalizedName")).alias("_start")).distinct()
+    heads = [0]
+    if names.sizes[-1] > RUN_WORDS:
+        hashes = F.transform(words(F.col("normalizedName")), lambda w: F.xxhash64(w))
+        heads = bitmap(lookup.filter(n_words > RUN_WORDS).select(let(hashes, lambda h: start_hash(h, F.lit(0), RUN_WORDS)).alias("_head")), n)
     # names that fit have starts that fit
     few = size <= limit or fits_broadcast(starts, limit)
-    heads: list[str] | None = []
-    if sizes[-1] > RUN_WORDS:
-        head = first_words(F.col("normalizedName"), RUN_WORDS).alias("head")
-        found = lookup.filter(n_words > RUN_WORDS).select(head).distinct().limit(HEADS + 1).collect()
-        heads = [r["head"] for r in found] if len(found) <= HEADS else None
-    return MentionNames(lookup, size <= limit, sizes, starts if few else None, heads)
-
-
-def runs_of(text: Column, names: MentionNames) -> Column:
-    """The runs of words that names are compared with. Only a text that holds the head of a
-    long name is cut into runs as long as the longest; a few garbled names cost the others nothing.
-    """
-    longest = names.sizes[-1]
-    if longest <= RUN_WORDS or names.heads is None:
-        return windows(text, longest)
-    heads = F.array(*[F.lit(h) for h in names.heads])
-    return let(windows(text, RUN_WORDS), lambda w: F.when(F.arrays_overlap(w, heads), windows(text, longest)).otherwise(w))
+    return replace(names, starts=starts if few else None, marks=bitmap(starts, n), heads=heads)
 
 
 def longest_mentions(texts: DataFrame, names: MentionNames) -> DataFrame:
     """The longest name in each text, the earliest entity among equals.
 
     ``texts`` has ``_ord`` (unique), ``text`` and further columns, which are
-    kept. Runs of words that do not start like any name are dropped by a semi-join
-    with hashes of the names' starts, in the task that reads the text as long as
-    the hashes fit a broadcast; the others are compared for each name size. While
-    the names fit too, only hits are shuffled; beyond that what passed travels,
-    salted, with the record's order and kept columns; the order need not be stable
-    between runs.
+    kept. Only runs of words whose start is in the names' bitmap become rows. Those that do
+    not start like any name after all are dropped by a semi-join with hashes of the names'
+    starts, in the task that reads the text as long as the hashes fit a broadcast; the
+    others are compared for each name size. While the names fit too, only hits are
+    shuffled; beyond that what passed travels, salted, with the record's order and kept
+    columns; the order need not be stable between runs.
     """
     lookup, sizes = names.lookup, names.sizes
     carried = [c for c in texts.columns if c not in (ORD, "text")]
     # the normalised text is a column of its own, so that it is made once per record
     normal = texts.select(ORD, *carried, match_key(F.col("text")).alias("_text"))
-    runs = normal.select(ORD, *carried, F.explode(runs_of(F.col("_text"), names)).alias("_run"))
+    runs = normal.select(ORD, *carried, F.explode(names.runs(F.col("_text"))).alias("_run"))
     if names.starts is not None:
-        runs = runs.withColumn("_start", start_of("_run", sizes)).join(F.broadcast(names.starts), "_start", "left_semi")
+        runs = runs.withColumn("_start", names.start(F.col("_run"))).join(F.broadcast(names.starts), "_start", "left_semi")
     grams = runs.select(ORD, *carried, F.explode(phrases(F.col("_run"), sizes)).alias("normalizedName"))
     hits = lookup_join(grams, lookup, ["normalizedName"], [ORD], small=names.small)
     rank = F.struct(F.length("normalizedName").alias("len"), (-F.col("position")).alias("pos"))

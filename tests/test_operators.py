@@ -164,13 +164,15 @@ def test_mentions_equal_search_by_pattern(table, limit):
 
 
 @pytest.mark.parametrize("limit", [1 << 20, -1])
-@pytest.mark.parametrize("heads", [500, 0])  # long names are looked for by their heads, or in all texts
-def test_mentions_of_a_very_long_name(table, monkeypatch, limit, heads):
-    monkeypatch.setattr(mentions, "HEADS", heads)
+@pytest.mark.parametrize("run", [8, 500])  # long names are looked for by their heads, or all runs are long
+@pytest.mark.parametrize("bits", [1 << 20, 64])  # the bitmap tells starts apart, or lets nearly all through
+def test_mentions_of_a_very_long_name(table, monkeypatch, limit, run, bits):
+    monkeypatch.setattr(mentions, "RUN_WORDS", run)
+    monkeypatch.setattr(mentions, "MOST_BITS", bits)
     long = " ".join(f"word{k}" for k in range(400))
     companies = [long, "word3 word4", " ".join(long.split()[5:14])]
     names = mentions.searched_names(entities.canonical_entities(table("entityName string, source_url string", [(n, "") for n in companies])), limit)
-    assert (names.heads is None) == (heads == 0)
+    assert len(names.marks) * 64 <= bits and any(names.heads) == (run == 8)
     texts = ["so " + long + " it is", long[:-1], " ".join(long.split()[:12]), " ".join(long.split()[4:30]), "word4 word3"]
     hits = mentions.longest_mentions(table("text string", [(t,) for t in texts]), names)
     assert values(hits, ORD, "entityId") == [(0, "STARTUP-0001"), (1, "STARTUP-0003"), (2, "STARTUP-0002"), (3, "STARTUP-0003")]
