@@ -21,8 +21,10 @@ ISO = (
     r"^\d{4}-\d{2}-\d{2}"
     r"([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?([+-]\d{2}(:\d{2}(:\d{2})?)?)?)?$"
 )
+# A day by ISO week, long and compact; the day may be left out.
+WEEK = r"^(\d{4})(?:-W(\d{2})(?:-(\d))?|W(\d{2})(\d)?)(?=$|[T ])"
 MAIL = (
-    r"^(?:[A-Za-z]+,?\s+)?(\d{1,2}\s+[A-Za-z]{3}\s+\d{4})\s+(\d{1,2}:\d{2}(?::\d{2})?)"
+    r"^(?:[A-Za-z]+,?\s+)?(\d{1,2}\s+[A-Za-z]{3})\s+(\d{4}|\d{2})\s+(\d{1,2}:\d{2}(?::\d{2})?)"
     r"\s*([+-]\d{4}|[A-Za-z]+)?.*$"
 )
 # Unit, stems of its name, and how many of it are taken for an age; the first unit found decides.
@@ -35,13 +37,35 @@ def instant(when: datetime) -> Column:
     return F.lit(when)
 
 
+def days_of_weeks(c: Column) -> Column:
+    """ISO text with a leading week date, ``2024-W05-2`` or ``2024W052``, as text with the date.
+
+    Week 1 is that of January 4, and a week without day starts on its Monday. A week or day
+    that the year does not have is left as it is, and is then no date.
+    """
+
+    def dated(text: Column) -> Column:
+        part = [F.regexp_extract(text, WEEK, i) for i in range(1, 6)]
+        year, week = part[0].try_cast("int"), F.concat(part[1], part[3]).try_cast("int")
+        day = F.coalesce(F.concat(part[2], part[4]).try_cast("int"), F.lit(1))
+        first = F.date_trunc("week", F.try_to_timestamp(F.concat(part[0], F.lit("-01-04")), F.lit("yyyy-MM-dd"))).cast("date")
+        date = F.date_add(first, (week - 1) * 7 + day - 1)
+        # the Thursday of a week is in the week's year
+        thursday = F.date_add(first, (week - 1) * 7 + 3)
+        known = (week >= 1) & (week <= 53) & day.between(1, 7) & (F.year(thursday) == year)
+        rest = F.regexp_replace(text, WEEK, "")
+        return F.when(known, F.concat(F.date_format(date, "yyyy-MM-dd"), rest)).otherwise(text)
+
+    return F.when(c.rlike(WEEK), let(c, dated)).otherwise(c)
+
+
 def parse_iso(c: Column) -> Column:
     """ISO text to a time stamp; text without offset is UTC, other text is null.
 
     Compact dates and a comma before the fraction are brought to the long form
     first; the offset is always written out, so the session zone has no say.
     """
-    text = F.replace(c, F.lit("Z"), F.lit("+00:00"))
+    text = F.replace(days_of_weeks(c), F.lit("Z"), F.lit("+00:00"))
     text = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})(?=$|\D)", "$1-$2-$3")
     text = F.regexp_replace(text, r"^(\S{10}.)(\d{2})(\d{2})(\d{2})?(?=$|[.,+-])", "$1$2:$3:$4")
     text = F.regexp_replace(text, r":(?=$|[.,+-])", ":00")
@@ -62,14 +86,18 @@ def parse_iso(c: Column) -> Column:
 
 
 def parse_mail(c: Column) -> Column:
-    """Mail-header date (``Tue, 02 Jan 2024 03:04:05 GMT``); unknown zone is UTC."""
-    part = [F.regexp_extract(c, MAIL, i) for i in (1, 2, 3)]
+    """Mail-header date (``Tue, 02 Jan 2024 03:04:05 GMT``); unknown zone is UTC.
+
+    Years of two digits are 1969 to 2068.
+    """
+    day, year, *part = [F.regexp_extract(c, MAIL, i) for i in (1, 2, 3, 4)]
     table = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
-    zone = F.when(part[2].rlike(r"^[+-]"), part[2]).otherwise(
-        F.coalesce(F.try_element_at(table, F.upper(part[2])), F.lit("+0000"))
+    zone = F.when(part[1].rlike(r"^[+-]"), part[1]).otherwise(
+        F.coalesce(F.try_element_at(table, F.upper(part[1])), F.lit("+0000"))
     )
-    clock = F.when(F.length(part[1]) <= 5, F.concat(part[1], F.lit(":00"))).otherwise(part[1])
-    text = F.concat_ws(" ", F.regexp_replace(part[0], r"\s+", " "), clock, zone)
+    clock = F.when(F.length(part[0]) <= 5, F.concat(part[0], F.lit(":00"))).otherwise(part[0])
+    year = F.when(F.length(year) == 4, year).otherwise(F.concat(F.when(year > "68", F.lit("19")).otherwise(F.lit("20")), year))
+    text = F.concat_ws(" ", F.regexp_replace(day, r"\s+", " "), year, clock, zone)
     return F.when(c.rlike(MAIL), F.try_to_timestamp(text, F.lit("d MMM yyyy H:mm:ss Z")))
 
 

@@ -291,3 +291,25 @@ def test_dropped_elements_nest_in_visible_text(one):
 )
 def test_content_of_an_element(one, page, want):
     assert one(lambda c: html.content(c, "<div id=a>", "div"), page) == want
+
+
+@pytest.mark.parametrize(
+    "raw, want",
+    [
+        # as datetime.fromisoformat reads them
+        ("2024-W05-2", "2024-01-30 00:00:00"), ("2024W052", "2024-01-30 00:00:00"), ("2024-W05", "2024-01-29 00:00:00"),
+        ("2024W05", "2024-01-29 00:00:00"), ("2024-W05-2T03:04:05Z", "2024-01-30 03:04:05"), ("2024W052T030405+0100", "2024-01-30 02:04:05"),
+        ("2020-W53-7", "2021-01-03 00:00:00"), ("2021-W01-1", "2021-01-04 00:00:00"), ("2026-W01-1", "2025-12-29 00:00:00"),
+        ("2015-W53-4 10:00", "2015-12-31 10:00:00"),
+        ("2024-W53-1", None), ("2024-W00-1", None), ("2024-W05-8", None), ("2024-W05-0", None), ("2024-W052", None), ("2024W05-2", None), ("2024-W5-2", None),
+        # as email.utils.parsedate_to_datetime reads them
+        ("Tue, 02 Jan 24 03:04:05 GMT", "2024-01-02 03:04:05"), ("02 Jan 68 03:04 +0100", "2068-01-02 02:04:00"),
+        ("02 Jan 69 03:04:05", "1969-01-02 03:04:05"), ("2 Feb 99 00:00:00 EST", "1999-02-02 05:00:00"), ("Tue, 02 Jan 2024 03:04:05 GMT", "2024-01-02 03:04:05"),
+        ("02 Jan 124 03:04:05", None),
+    ],
+)
+def test_week_dates_and_short_years(one, raw, want):
+    from pyspark.sql import functions as F
+
+    at = F.lit("2024-01-30 00:00:00").cast("timestamp")
+    assert one(lambda c: F.date_format(dates.parse_date(c, at), "yyyy-MM-dd HH:mm:ss"), raw) == want

@@ -191,6 +191,30 @@ def fn6(i):
     return written_dates(i).select("id", F.date_format(dates.parse_iso(F.col("value")), TIME + ".SSS").alias("parsed"))
 
 
+# Week dates and mail years of two digits, written from the events' times by plain arithmetic on both sides.
+
+@query(
+    "fn5_week_dates_and_short_years",
+    sql(
+        "SELECT event_id AS id, CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%d 00:00:00') "
+        "WHEN 1 THEN strftime(date_trunc('week', ts), '%Y-%m-%d 00:00:00') WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M:00') "
+        "ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS parsed FROM events"
+    ),
+)
+def fn5_weeks(i):
+    thursday = F.date_add(F.date_trunc("week", "ts").cast("date"), 3)
+    week = F.concat(F.year(thursday).cast("string"), F.lit("-W"), F.lpad(F.weekofyear("ts").cast("string"), 2, "0"))
+    day = (F.weekday("ts") + 1).cast("string")
+    value = (
+        F.when(F.col("event_id") % 4 == 0, F.concat(F.replace(week, F.lit("-"), F.lit("")), day))
+        .when(F.col("event_id") % 4 == 1, week)
+        .when(F.col("event_id") % 4 == 2, F.concat(week, F.lit("-"), day, F.lit("T"), F.date_format("ts", "HH:mm"), F.lit("Z")))
+        .otherwise(F.date_format("ts", "EEE, dd MMM yy HH:mm:ss 'GMT'"))
+    )
+    parsed = dates.parse_date(value, dates.instant(NEWS_AS_OF))
+    return i.table("events").select(F.col("event_id").alias("id"), F.date_format(parsed, TIME).alias("parsed"))
+
+
 # feeds
 
 ITEM_TITLE, ITEM_TEXT = fragment("title"), fragment("'<p>' || content || '</p>'")
