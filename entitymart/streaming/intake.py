@@ -1,19 +1,24 @@
 """Continuous forms of intake and linking.
 
-Intake keeps the first arrival of a url; the batch form keeps the last. The two
-agree on inputs without duplicates.
+``fresh_unique`` keeps the first arrival of a url within the window, with bounded state.
+``keep_latest`` keeps the last record of a key by the records' own order, whatever order
+they arrive in, so its table equals what the batch form keeps.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from entitymart.functions.dates import is_fresh
 from entitymart.functions.text import is_filled
+from entitymart.operators.dedup import keep_one
 from entitymart.operators.entities import Names, link_by_name
+from entitymart.operators.ordering import ORD
+from entitymart.sources import feeds
 
 
 def fresh_unique(stream: DataFrame, time: str, as_of: datetime | None = None, key: str = "source_url") -> DataFrame:
@@ -45,6 +50,47 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, **trigger) -> Strea
     )
 
 
+def keep_latest(
+    stream: DataFrame, path: str, checkpoint: str, key: str = "source_url", order: list[str] | None = None, **trigger
+) -> StreamingQuery:
+    """Keep the last record of each key by ``order``, whose values differ within a key; blank keys are dropped.
+
+    The state holds one record a key (use the RocksDB state store where keys are many) and is
+    combined map-side, so a hot key sends one record a task. A batch writes the keys that
+    it changed to a folder under its id and replaces that folder when it runs again, so a
+    restart neither loses nor doubles a record. ``latest`` reads the table.
+    """
+    values = [c for c in stream.columns if c != key]
+    last = F.max_by(F.struct(*values), F.struct(*(order or [ORD])))
+    kept = stream.filter(is_filled(stream[key])).groupBy(key).agg(last.alias("_last")).select(key, "_last.*")
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        kept.writeStream.foreachBatch(put)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def latest(spark: SparkSession, path: str, key: str = "source_url") -> DataFrame:
+    """The records that ``keep_latest`` keeps by now: of each key those of its last batch."""
+    return keep_one(spark.read.parquet(path), [key], "last", order=["batch"]).drop("batch")
+
+
+def fresh_news(stream: DataFrame, as_of: datetime | None = None, articles: DataFrame | None = None) -> DataFrame:
+    """News records of a stream of landed feeds, several items a payload; the content is the
+    page's ``article`` by ``url`` where a table of articles is given and has it, else the description.
+    """
+    items = feeds.fresh_items(feeds.feed_items(stream, as_of), as_of)
+    if articles is None:
+        return feeds.records(items.withColumn("article", F.lit(None).cast("string")), as_of)
+    return feeds.records(items.join(articles.select("url", "article"), "url", "left"), as_of)
+
+
 def link_stream(
     stream: DataFrame,
     name: str,

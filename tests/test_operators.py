@@ -376,3 +376,52 @@ def test_observed_rows(table):
 
 def test_first_rows(table):
     assert values(first_rows(startups(table), 2), "source_url") == [("u1",), ("u2",)]
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_latest_does_not_depend_on_arrival_or_restarts(spark, tmp_path, seed):
+    """Files in any order, the query stopped and started again in between, a batch run twice."""
+    from entitymart.streaming import intake
+
+    rng = random.Random(seed)
+    rows = [(k, rng.choice(["a", "b", "c", "d", "hot", "hot", "hot", "", None]), f"v{k}") for k in range(90)]
+    rng.shuffle(rows)
+    where, table, state = (str(tmp_path / x) for x in ("in", "table", "state"))
+    schema = f"{ORD} bigint, source_url string, value string"
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(where)
+    for part in (rows[:40], rows[40:60], rows[60:]):
+        for at in range(0, len(part), 10):
+            spark.createDataFrame(part[at : at + 10], schema).coalesce(1).write.mode("append").parquet(where)
+        intake.keep_latest(stream, table, state).awaitTermination()
+    last = {}
+    for k, url, value in sorted(rows):
+        if url:
+            last[url] = (url, k, value)
+    assert values(intake.latest(spark, table), "source_url", ORD, "value") == sorted(last.values())
+    # the last batch once more, as after a failure before its commit
+    commits = sorted((tmp_path / "state" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for p in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        p.unlink(missing_ok=True)
+    intake.keep_latest(stream, table, state).awaitTermination()
+    assert values(intake.latest(spark, table), "source_url", ORD, "value") == sorted(last.values())
+
+
+def test_news_stream_equals_batch(spark, table, tmp_path):
+    from datetime import datetime, timezone
+
+    from entitymart.sources import feeds
+    from entitymart.streaming import intake
+
+    at = datetime(2024, 1, 30, 12, tzinfo=timezone.utc)
+    item = "<item><title>{0}</title><link>{1}</link><description>{0} text</description><pubDate>{2}</pubDate></item>"
+    rows = [[(f"t{f}{k}", f"u{(f + k) % 5}", "2 hours ago" if k else "3 days ago") for k in range(4)] for f in range(6)]
+    landed = table("payload string, source_name string", [("<rss><channel>" + "".join(item.format(*r) for r in rs) + "</channel></rss>", f"f{n}") for n, rs in enumerate(rows)])
+    landed.repartition(4).write.parquet(str(tmp_path / "in"))
+    articles = spark.createDataFrame([("u1", "page"), ("u2", " ")], "url string, article string")
+    stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    intake.keep_latest(intake.fresh_news(stream, at, articles), str(tmp_path / "t"), str(tmp_path / "s")).awaitTermination()
+    batch = feeds.unique_news(feeds.records(feeds.fresh_items(feeds.feed_items(landed, at), at).join(articles, "url", "left"), at))
+    names = ["source_url", "title", "content", "publishedAt"]
+    got = values(intake.latest(spark, str(tmp_path / "t")), *names)
+    assert got == values(batch, *names) and len(got) == 5 and ("u1", "page") in [(r[0], r[2]) for r in got]

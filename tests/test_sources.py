@@ -83,6 +83,22 @@ def test_feed_items(table):
     assert feeds.feed_items(payloads(table, ATOM.replace(' xmlns="http://www.w3.org/2005/Atom"', "")), AS_OF).count() == 0
 
 
+def test_items_at_any_depth(table):
+    """As ``.//item`` of a parsed tree finds them: in document order, an item inside an item as well."""
+    one = "<item><title>{0}</title><link>{0}</link></item>"
+    got = lambda *docs: [(r["title"], r["url"]) for r in feeds.feed_items(payloads(table, *docs), AS_OF).orderBy(ORD).collect()]
+    assert got(f"<feed><a><b>{one.format('x')}</b></a>{one.format('y')}</feed>") == [("x", "x"), ("y", "y")]
+    nested = "<rss><channel><item><title>out</title><part><item><title>in</title></item></part><link>o</link></item></channel></rss>"
+    assert got(nested) == [("out", "o"), ("in", "")]
+    three = "<r><item><title>1</title><g><item><title>2</title><g><item><title>3</title></item></g></item></g></item><g><item/></g></r>"
+    assert got(three) == [("1", ""), ("2", ""), ("3", ""), ("", "")]
+    hidden = f"<r><g><!-- {one.format('no')} --><t><![CDATA[{one.format('no')}]]></t>{one.format('yes')}</g></r>"
+    assert got(hidden) == [("yes", "yes")]
+    spaced = '<r xmlns:a="http://www.w3.org/2005/Atom" xmlns:atom="http://www.w3.org/2005/Atom"><g xmlns:a="z"><item><title>t</title><atom:link href="h"/></item></g></r>'
+    assert got(spaced) == [("t", "h")]
+    assert got(f"<r><g>{one.format('x')}</g>", f"<r><items>{one.format('z')}</items></r>", "<r><itemx><title>q</title></itemx></r>") == [("z", "z")]
+
+
 def test_news_takes_article_or_description(table):
     items = feeds.feed_items(payloads(table, RSS), AS_OF)
     site = table("url string, html string", [("http://a", "<p>old</p>"), ("http://a", "<p>new</p>"), ("http://c", "<nav>n</nav>"), ("http://z", "")])

@@ -234,6 +234,16 @@ def src6(i):
     return items(feeds.feed_items(i.rss, NEWS_AS_OF))
 
 
+@query(
+    "src6_rss_items_at_any_depth",
+    sql(f"SELECT {ITEM_TITLE} AS title, source_url AS url, {ITEM_TEXT} AS description, {PUBLISHED} AS published FROM news"),
+)
+def src6_deep(i):
+    deep = F.replace("payload", F.lit("<channel><title>feed</title>"), F.lit("<channel><!-- <item> --><group id='1'><list>"))
+    deep = F.replace(deep, F.lit("</channel>"), F.lit("</list></group></channel>"))
+    return items(feeds.feed_items(i.rss.withColumn("payload", deep), NEWS_AS_OF))
+
+
 @query(
     "src7_atom_items",
     sql(
