@@ -249,6 +249,52 @@ def test_secrets_of_any_length_and_form(text, secrets):
     assert not secrets or KEY not in secret_scan.redacted(text, found)
 
 
+ESCAPED = 'k3J9x\\"Q7mZ2pL8vT4'
+
+
+@pytest.mark.parametrize(
+    ("text", "secrets"),
+    [
+        (f'os.environ["AUTH_KEY"] = "{KEY}"', [KEY]),
+        (f"config['db']['auth_key'] = '{KEY}'", [KEY]),
+        (f'auth_key = "{ESCAPED}" + x', [ESCAPED]),
+        (f'auth_key = """{KEY}"""', [KEY]),
+        (f"auth_key = \'\'\'\n  {KEY}\n\'\'\'\nx = 1", [KEY]),
+        (f"<auth_key>{KEY}</auth_key>", [KEY]),
+        (f"<auth_key id='1'>\n {KEY}\n</auth_key>", [KEY]),
+        (f"credentials:\n  - {KEY}\n  - 'aB3{KEY}'\nother:\n  - {KEY}zz\n", [KEY, "aB3" + KEY]),
+        (f'auth_key = {{"value": "{KEY}"}}', [KEY]),
+        (f'{{"credentials": {{"value": "{KEY}", "list": ["b{KEY}"]}}, "note": "c{KEY}"}}', [KEY, "b" + KEY]),
+        (f'auth_key = get("{KEY}")', [KEY]),
+        (f'client.setCredential("{KEY}"); log("{KEY}z")', [KEY]),
+        (f'K = "{KEY}"\nL = f"{{K}}-v1"\nauth_key = L', [KEY, "{K}-v1"]),
+        (f'A = "{KEY}"\nauth_key = f"pre-{{A}}"', [KEY, "pre-{A}"]),
+        ("auth_key=k3J9$Q7mZ2!pL8vT4\nnext", ["k3J9$Q7mZ2!pL8vT4"]),
+        ("AUTH_KEY: k3J9!xQ7mZ2pL8vT4", ["k3J9!xQ7mZ2pL8vT4"]),
+        ("auth_key=$AUTH_KEY_FROM_ENV\nauth_key = ${SECRET_OF_ENV}", []),
+        (f'auth_key = "{KEY[:8]}" + "{KEY[8:]}"', [KEY[:8], KEY[8:]]),
+        (f'auth_key = ("{KEY[:5]}"\n    "{KEY[5:]}")', [KEY[:5], KEY[5:]]),
+        (f'# auth_key = "{KEY}"  // old\nb"x"', [KEY]),
+        (f'auth_key = b"{KEY}"', [KEY]),
+        (f'colour = "{KEY}"; print("{KEY}"); names["colour"] = "{KEY}"', []),
+        (f"don't auth; it's {KEY} or 'quoted {KEY}' here", []),
+    ],
+)
+def test_secrets_in_source_and_configuration(text, secrets):
+    found = secret_scan.spans(text)
+    assert [text[s:e] for s, k, e, _ in found if k == 3] == secrets
+    left = secret_scan.redacted(text, found)
+    assert not secrets or all(s not in left for s in secrets if text.count(s) == 1)
+
+
+@pytest.mark.parametrize("part", ["(", "[", "a(", 'a["', "a = (", '"', "\"\"\"", "`", "'", "{a: ", "<a>", "<a b", "a:\n", "- a\n", "a:\n- b\n", "a=$", "f'{a}' ", 'a = "b" + a\n', '"\\', "'" + "x" * 30, "set("])
+def test_sources_are_read_in_linear_time(part):
+    text = 'auth = "k3J9xQ7mZ2pL8vT4" ' + part * 60_000
+    started = time.process_time()
+    secret_scan.spans(text)
+    assert time.process_time() - started < 6
+
+
 @pytest.mark.parametrize("part", ["a", "a-", "a ", " ", "a: ", "a = ", "a: b ", "x = '", 'x = "', "a: &", "k = -----BEGIN A-----", "k = \n", "a: b | ", "a:"])
 def test_secrets_are_found_in_linear_time(part):
     started = time.process_time()
