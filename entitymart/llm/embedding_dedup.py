@@ -17,6 +17,14 @@ BLOCK, STEP = 256, 8
 SLACK = 1e-6
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows of ordinary size: one whose squares would vanish or overflow is divided by its largest component."""
+    with np.errstate(over="ignore", under="ignore"):
+        norm = np.linalg.norm(x, axis=1, keepdims=True)
+    odd = ~((norm > 1e-140) & (norm < 1e140))
+    return np.where(odd, x / np.abs(x).max(axis=1, keepdims=True), x) if odd.any() else x
+
+
 def _moments(batches):
     """Arrow step: sums of products of unit vectors, by dimension count."""
     sums: dict[int, np.ndarray] = {}
@@ -25,7 +33,7 @@ def _moments(batches):
         for v in batch.column(0).to_pylist():
             by.setdefault(len(v), []).append(v)
         for d, rows in by.items():
-            x = np.array(rows, np.float64)
+            x = scaled(np.array(rows, np.float64))
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             sums[d] = sums.get(d, 0) + x.T @ x
     for d, s in sums.items():
@@ -48,7 +56,7 @@ def rotations(classes: DataFrame, most: int = 1024) -> dict[int, np.ndarray]:
 def _unit(table: pa.Table, axes: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Vectors as given, their norms, and unit vectors along the principal axes."""
     flat = table.column("v").combine_chunks()
-    given = np.asarray(flat.flatten(), np.float64).reshape(len(table), -1)
+    given = scaled(np.asarray(flat.flatten(), np.float64).reshape(len(table), -1))
     norms = np.linalg.norm(given, axis=1)
     unit = given / norms[:, None]
     return given, norms, unit @ axes[given.shape[1]] if given.shape[1] in axes else unit
@@ -146,7 +154,7 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.93, tile: int = TILE
         for batch in batches:
             out = np.zeros(batch.num_rows)
             for k, x in enumerate(batch.column(3).to_pylist()):
-                x = np.array(x)
+                x = scaled(np.array([x]))[0]
                 axis = shared.value[len(x)][:, 0] if len(x) in shared.value else np.eye(1, len(x))[0]
                 out[k] = x @ axis / np.linalg.norm(x)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], ["node", "n", "label", "v", "place"])

@@ -89,7 +89,8 @@ def op3(documents: DataFrame) -> DataFrame:
     hosts AS (SELECT host, count(DISTINCT coalesce(doc_id, -1)) AS n FROM d GROUP BY host),
     common AS (
       SELECT host, l FROM line JOIN hosts USING (host) GROUP BY host, l, hosts.n
-      HAVING count(DISTINCT coalesce(doc_id, -1)) > 10 AND count(DISTINCT coalesce(doc_id, -1)) > 0.02 * hosts.n),
+      HAVING count(DISTINCT coalesce(doc_id, -1)) > 10
+         AND (count(DISTINCT coalesce(doc_id, -1)) > 0.02 * hosts.n OR count(DISTINCT coalesce(doc_id, -1)) > 1000)),
     taken AS (SELECT r, count(*) AS n, sum(len(string_split(l, ' '))) AS words FROM line JOIN common USING (host, l) GROUP BY r)
     SELECT doc_id, len(w) AS n_words, coalesce(list_sum([length(x) for x in w]), 0)::BIGINT AS word_chars,
            length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
@@ -102,7 +103,7 @@ def op3(documents: DataFrame) -> DataFrame:
     """,
 )
 def op4(documents: DataFrame) -> DataFrame:
-    return line_quality.judge(documents, many=None)
+    return line_quality.judge(documents)
 
 
 @query(

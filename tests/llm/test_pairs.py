@@ -235,6 +235,12 @@ def test_vectors_messy_and_empty(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_vectors_of_any_size_link(spark):
+    rows = [(k, "a", [x, 2 * x, -x]) for k, x in enumerate([1e-200, 1.0, 1e200, 1e-320, -1e150, 5e-324])] + [(9, "a", [2e200, -1e200, 0.0])]
+    got = got_links(embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")))
+    assert got == [(0, 4, 0), (1, 4, 0), (2, 4, 0), (3, 4, 0), (4, 0, 4), (5, 4, 0), (9, 0, 9)]
+
+
 def test_bounds_leave_no_pair_out():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 40))
