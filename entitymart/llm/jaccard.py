@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entitymart.llm.common import U64, Scratch, buckets, components, mixed, packed, runs, texts_of, word_hashes
-from entitymart.llm.sketch import Common, common
+from entitymart.llm.sketch import Common, common, marked, members
 
 #: Bytes of text hashed at once.
 CHUNK = 4 << 20
@@ -351,11 +351,14 @@ def candidates(rows: DataFrame, scratch: Scratch, width: int, percent: int, tile
     groups = scratch.keep(groups, "shared")
 
     # One document of each set that meets others brings the shingles. The asked ones grow
-    # with the corpus, so both sides are shuffled at every size.
-    first = F.min(F.struct((~F.col("known")).alias("nameless"), "id"))
+    # with the corpus, so both sides are shuffled at every size, but only texts that a sketch
+    # of the asked ones' hashes lets through.
+    first = F.min(F.struct((~F.col("known")).alias("nameless"), "id", "hash"))
     asked = sets.join(groups.select("node").distinct(), "node", "left_semi").groupBy("node").agg(first.alias("f"), F.min("n").alias("n"), F.count("*").alias("copies"))
-    asked = asked.select("node", F.col("f.id").alias("id"), (~F.col("f.nameless")).alias("known"), "n", "copies").hint("merge")
-    found = rows.join(asked, ["id", "known"]).select("node", "text", "copies", "n")
+    asked = asked.select("node", F.col("f.id").alias("id"), (~F.col("f.nameless")).alias("known"), F.col("f.hash").alias("hash"), "n", "copies")
+    asked = scratch.keep(asked, "asked")
+    texts = marked(rows, "hash", members(asked, "hash"), True)
+    found = texts.join(asked.drop("hash").hint("merge"), ["id", "known"]).select("node", "text", "copies", "n")
     found = scratch.keep(found.mapInArrow(_arrays(width), "node long, found binary, bits binary, copies long, n long"), "found")
 
     load = F.length("bits").cast("long")

@@ -13,9 +13,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from entitymart.llm.common import U64
+from entitymart.llm.common import U64, mixed
 
 #: Most buckets, however large the table: a broadcast holds a bit of each for every limit (32 MB).
 MOST_BITS = 28
@@ -88,3 +89,31 @@ def common(rows: DataFrame, items: Callable[[pa.RecordBatch], Iterator[np.ndarra
     for row in found:
         maps[:, row["slice"]] = np.frombuffer(row["bits"], np.uint8).reshape(len(limits), width // 8)
     return Common(bits, maps.reshape(len(limits), -1))
+
+
+def members(table: DataFrame, column: str) -> Broadcast:
+    """A broadcast sketch that holds every 64-bit value of a column, and few others while it has room."""
+
+    def items(batch):
+        yield _hashes(batch.column(0))
+
+    found = common(table.select(column).where(f"{column} is not null"), items, table.count(), (1,), 1 / 16)
+    return table.sparkSession.sparkContext.broadcast(found)
+
+
+def _hashes(column: pa.Array) -> np.ndarray:
+    return mixed(np.ascontiguousarray(column.to_numpy(zero_copy_only=False).astype(np.int64)).view(U64))
+
+
+def marked(rows: DataFrame, column: str, sketch: Broadcast, held: bool) -> DataFrame:
+    """The rows whose value of ``column``, which is never null, the sketch holds, or those for which it surely does not.
+
+    What a join can match is told from what it cannot without a shuffle.
+    """
+    place = rows.columns.index(column)
+
+    def keep(batches):
+        for batch in batches:
+            yield batch.filter(pa.array((sketch.value.level(_hashes(batch.column(place))) > 0) == held))
+
+    return rows.mapInArrow(keep, rows.schema)
