@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from entitymart.llm import jaccard, language, mixing, packing, secret_scan
+from entitymart.llm import jaccard, language, mixing, packing, secret_scan, sketch
 from entitymart.llm.common import Scratch
 
 #: Share of a text's words that the language's own vocabulary must hold. The least share seen was
@@ -67,9 +67,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     fates = scratch.keep(fates, "fates")
     rows = rows.withColumn("row_hash", F.xxhash64(F.col("text").cast("string")))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("fate_id")) & (F.col("row_hash") == F.col("fate_hash"))
+    # Only rows that a sketch of the fates' hashes lets through are shuffled.
+    some, one = fates, fates.where("one")
+    may_go, may_thin = sketch.members(some, "fate_hash"), sketch.members(one, "fate_hash")
+    untouched = sketch.marked(rows, "row_hash", may_go, False)
+    stayed = sketch.marked(rows, "row_hash", may_go, True).join(some, same, "left_anti")
     order = Window.partitionBy("doc_id", "row_hash").orderBy(F.xxhash64("lang", "source", "n_chars"))
-    thinned = rows.join(fates.where("one"), same, "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1").drop("place")
-    return back(rows.join(fates, same, "left_anti").unionByName(thinned), docs)
+    thinned = sketch.marked(rows, "row_hash", may_thin, True).join(one, same, "left_semi")
+    thinned = thinned.withColumn("place", F.row_number().over(order)).where("place = 1").drop("place")
+    return back(untouched.unionByName(stayed).unionByName(thinned), docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
