@@ -13,6 +13,8 @@ from entitymart.llm.common import U64, Scratch, buckets, mixed, packed, texts_of
 
 #: Bytes of the run whose hash anchors a window.
 GRAM = 32
+#: Fragments cut at once.
+SLICE = 1 << 16
 #: Bytes of text hashed at once.
 CHUNK = 2 << 20
 SEEN = np.dtype([("hash", "<u4"), ("text", "<i8"), ("at", "<u4")])
@@ -150,18 +152,22 @@ def _fragments(n: int, length: int):
                         continue
                     padded = np.zeros(len(piece) + 2 * reach + length, np.uint8)
                     padded[reach : reach + len(piece)] = piece
-                    out = np.empty(len(at), record)
-                    out["doc"], out["text"], out["at"], out["first"], out["last"] = docs[row], texts[row], at, first, last
-                    out["bytes"] = padded[(at - start)[:, None] + np.arange(width)]
-                    # Bytes outside the anchor's windows say nothing here; blank ones pack well.
-                    column = np.arange(width)[None, :] - reach + at[:, None]
-                    out["bytes"][(column < first[:, None]) | (column >= last[:, None] + length)] = 0
-                    found.append(out)
-                    hashes.append(h)
-                    size += out.nbytes
-                    if size > 32 << 20:
-                        yield from flush()
-                        size = 0
+                    around = np.lib.stride_tricks.sliding_window_view(padded, width)
+                    # A periodic text has an anchor at each place: fragments are cut a slice at a time.
+                    for low in range(0, len(at), SLICE):
+                        a, f, e = at[low : low + SLICE], first[low : low + SLICE], last[low : low + SLICE]
+                        out = np.empty(len(a), record)
+                        out["doc"], out["text"], out["at"], out["first"], out["last"] = docs[row], texts[row], a, f, e
+                        out["bytes"] = around[a - start]
+                        # Bytes outside the anchor's windows say nothing here; blank ones pack well.
+                        column = np.arange(width, dtype=np.int32)[None, :]
+                        out["bytes"][(column < (f - a + reach)[:, None]) | (column >= (e + length - a + reach)[:, None])] = 0
+                        found.append(out)
+                        hashes.append(h[low : low + SLICE])
+                        size += out.nbytes
+                        if size > 32 << 20:
+                            yield from flush()
+                            size = 0
             yield from flush()
 
     return step, record
