@@ -9,7 +9,8 @@ from workload.registry import QUERIES, SQL
 ORACLE = [
     "ag1_products_per_company", "jn2_jobs_to_entities", "jn3_news_mentions", "dd1_unique_relationships",
     "dd3_last_news_per_url", "dq4_quality_report", "prj1_board_1_jobs", "src6_rss_items", "org1_organization_sources",
-    "en4_failed", "st1_continuous_intake",
+    "en4_failed", "st1_continuous_intake", "st1_last_job_per_url", "st1_last_news_per_url", "src6_rss_items_at_any_depth",
+    "fn4_nested_article_text", "fn5_week_dates_and_short_years",
 ]
 
 
