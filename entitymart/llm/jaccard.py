@@ -14,6 +14,8 @@ from entitymart.llm.sketch import Common, common, marked, members
 CHUNK = 4 << 20
 #: Shingles of all documents, or bytes of bitmaps, that one tile holds.
 TILE_SHINGLES, TILE_BYTES = 4_000_000, 16 << 20
+#: Shingles that a task sends to the sketch at once.
+SKETCHED = 1 << 20
 #: Bytes of an average word with its blank: sets the sketch's size only.
 WORD_BYTES = 6
 #: Sets from which a shingle counts as shared, and as frequent.
@@ -335,12 +337,17 @@ def candidates(rows: DataFrame, scratch: Scratch, width: int, percent: int, tile
     spark, n = rows.sparkSession, buckets(rows.sparkSession)
 
     def items(batch):
-        seen: dict = {}
+        seen, held, size = set(), [], 0
         for _, found, name in _sets(batch, 2, width):
-            if len(found) > 1:
-                seen[name] = found
-        if seen:
-            yield np.concatenate(list(seen.values()))
+            if len(found) > 1 and name not in seen:
+                seen.add(name)
+                held.append(found)
+                size += len(found)
+            if size > SKETCHED:
+                yield np.concatenate(held)
+                held, size = [], 0
+        if held:
+            yield np.concatenate(held)
 
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     sketch = spark.sparkContext.broadcast(common(rows, items, total // WORD_BYTES, (SHARED, FREQUENT), 1))

@@ -21,6 +21,8 @@ from entitymart.llm.common import U64, mixed
 #: Most buckets, however large the table: a broadcast holds a bit of each for every limit (32 MB).
 MOST_BITS = 28
 SLICE_BITS = 18
+#: Rows that a filter copies at once.
+FILTERED = 1000
 
 
 class Common:
@@ -113,7 +115,9 @@ def marked(rows: DataFrame, column: str, sketch: Broadcast, held: bool) -> DataF
     place = rows.columns.index(column)
 
     def keep(batches):
-        for batch in batches:
-            yield batch.filter(pa.array((sketch.value.level(_hashes(batch.column(place))) > 0) == held))
+        for whole in batches:
+            for first in range(0, whole.num_rows, FILTERED):
+                batch = whole.slice(first, FILTERED)
+                yield batch.filter(pa.array((sketch.value.level(_hashes(batch.column(place))) > 0) == held))
 
     return rows.mapInArrow(keep, rows.schema)
