@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entitymart import fixed
-from entitymart.functions.text import json_list, let, match_key, mention_text, record_url
+from entitymart.functions.text import json_list, match_words, mention_text, record_url, settled
 from entitymart.operators.entities import Names, finish_links, mention_names
 from entitymart.operators.lookup import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join, total_bytes
 from entitymart.operators.ordering import ORD
@@ -30,9 +30,9 @@ def words(text: Column) -> Column:
     return F.split(text, " ")
 
 
-def start_hash(hashes: Column, place: Column, k: int) -> Column:
-    """Hash of the ``k`` words from a place on (0 is the first), from the hashes of the words."""
-    return F.xxhash64(*[F.get(hashes, place + i) for i in range(k)])
+def start_hash(words: Column, place: Column, k: int) -> Column:
+    """Hash of the ``k`` words from a place on (0 is the first)."""
+    return F.xxhash64(*[F.get(words, place + i) for i in range(k)])
 
 
 def first_words(run: Column, k: int) -> Column:
@@ -50,43 +50,38 @@ class MentionNames(Names):
 
     ``starts`` holds a hash of the words each name starts with, if those hashes fit a
     broadcast. ``marks`` is a bitmap of the same hashes, at most ``MOST_BITS`` whatever the names,
-    and ``heads`` one of the first ``RUN_WORDS`` words of longer names.
+    ``firsts`` one of the first words alone, and ``heads`` one of the first ``RUN_WORDS`` words of longer names.
     """
 
     sizes: list[int]
     starts: DataFrame | None
     marks: list[int]
+    firsts: list[int]
     heads: list[int]
 
     def start(self, text: Column) -> Column:
         """Hash of as many first words as the shortest name has."""
-        hashes = F.transform(words(text), lambda w: F.xxhash64(w))
-        return let(hashes, lambda h: start_hash(h, F.lit(0), self.sizes[0]))
+        return start_hash(words(text), F.lit(0), self.sizes[0])
 
-    def runs(self, text: Column) -> Column:
-        """From each word of a normalised text at which a name may start, a run as long as the longest name.
+    def runs(self, texts: DataFrame) -> DataFrame:
+        """A row with ``_run`` for each word of ``_words`` at which a name may start: as many words as the longest name.
 
-        Words are cut and hashed once, starts are hashes of hashes, and strings are made
-        only where the bitmap lets a start through. A run has ``RUN_WORDS`` words unless they
-        may be the head of a longer name, so a few long names cost the others nothing.
+        Each word is a row only inside the generated code that hashes it and looks it up in the
+        bitmaps; strings are made where those let a start through. A run has ``RUN_WORDS``
+        words unless they may be the head of a longer name, so a few long names cost the others nothing.
         """
         shortest, longest = self.sizes[0], self.sizes[-1]
-        none = F.array().cast("array<int>")
-
-        def length(h: Column, i: Column) -> Column:
-            if longest <= RUN_WORDS:
-                return F.lit(longest)
-            return F.when(is_marked(start_hash(h, i, RUN_WORDS), self.heads), longest).otherwise(RUN_WORDS)
-
-        def cut(w: Column) -> Column:
-            def found(h: Column) -> Column:
-                places = F.when(F.size(w) >= shortest, F.sequence(F.lit(0), F.size(w) - shortest)).otherwise(none)
-                kept = F.filter(places, lambda i: is_marked(start_hash(h, i, shortest), self.marks))
-                return F.transform(kept, lambda i: F.array_join(F.slice(w, i + 1, length(h, i)), " "))
-
-            return let(F.transform(w, lambda x: F.xxhash64(x)), found)
-
-        return let(words(text), cut)
+        kept = [c for c in texts.columns if c != "_words"]
+        w, i = F.col("_words"), F.col("_place")
+        places = texts.select(*kept, "_words", F.posexplode("_words").alias("_place", "_word"))
+        places = places.filter(is_marked(F.xxhash64("_word"), self.firsts) & (i <= F.size(w) - shortest))
+        if shortest > 1:
+            places = places.filter(is_marked(start_hash(w, i, shortest), self.marks))
+        length = F.lit(longest)
+        if longest > RUN_WORDS:
+            length = F.when(is_marked(start_hash(w, i, RUN_WORDS), self.heads), longest).otherwise(RUN_WORDS)
+        # a generated column: what is joined and compared later does not make it again
+        return places.select(*kept, settled(F.array_join(F.slice(w, i + 1, length), " ")).alias("_run"))
 
 
 def is_marked(value: Column, marks: list[int]) -> Column:
@@ -115,15 +110,17 @@ def searched_names(entities: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> Men
     )
     n_words = F.size(words(F.col("normalizedName")))
     size, found, n = lookup.agg(total_bytes(lookup), F.collect_set(n_words), F.count("*")).first()
-    names = MentionNames(lookup, size <= limit, sorted(found) or [1], None, [0], [0])
+    names = MentionNames(lookup, size <= limit, sorted(found) or [1], None, [0], [0], [0])
+    name = words(F.col("normalizedName"))
     starts = lookup.select(names.start(F.col("normalizedName")).alias("_start")).distinct()
+    firsts = bitmap(lookup.select(start_hash(name, F.lit(0), 1).alias("_first")), n)
     heads = [0]
     if names.sizes[-1] > RUN_WORDS:
-        hashes = F.transform(words(F.col("normalizedName")), lambda w: F.xxhash64(w))
-        heads = bitmap(lookup.filter(n_words > RUN_WORDS).select(let(hashes, lambda h: start_hash(h, F.lit(0), RUN_WORDS)).alias("_head")), n)
+        heads = bitmap(lookup.filter(n_words > RUN_WORDS).select(start_hash(name, F.lit(0), RUN_WORDS).alias("_head")), n)
     # names that fit have starts that fit
     few = size <= limit or fits_broadcast(starts, limit)
-    return replace(names, starts=starts if few else None, marks=bitmap(starts, n), heads=heads)
+    marks = bitmap(starts, n) if names.sizes[0] > 1 else firsts
+    return replace(names, starts=starts if few else None, marks=marks, firsts=firsts, heads=heads)
 
 
 def longest_mentions(texts: DataFrame, names: MentionNames) -> DataFrame:
@@ -139,9 +136,9 @@ def longest_mentions(texts: DataFrame, names: MentionNames) -> DataFrame:
     """
     lookup, sizes = names.lookup, names.sizes
     carried = [c for c in texts.columns if c not in (ORD, "text")]
-    # the normalised text is a column of its own, so that it is made once per record
-    normal = texts.select(ORD, *carried, match_key(F.col("text")).alias("_text"))
-    runs = normal.select(ORD, *carried, F.explode(names.runs(F.col("_text"))).alias("_run"))
+    # the words are a generated column, so that they are made once per record
+    cut = texts.select(ORD, *carried, settled(match_words(F.col("text"))).alias("_words"))
+    runs = names.runs(cut)
     if names.starts is not None:
         runs = runs.withColumn("_start", names.start(F.col("_run"))).join(F.broadcast(names.starts), "_start", "left_semi")
     grams = runs.select(ORD, *carried, F.explode(phrases(F.col("_run"), sizes)).alias("normalizedName"))

@@ -425,3 +425,13 @@ def test_news_stream_equals_batch(spark, table, tmp_path):
     names = ["source_url", "title", "content", "publishedAt"]
     got = values(intake.latest(spark, str(tmp_path / "t")), *names)
     assert got == values(batch, *names) and len(got) == 5 and ("u1", "page") in [(r[0], r[2]) for r in got]
+
+
+def test_words_are_searched_without_lambdas(table):
+    """A word costs a row of generated code, not calls of an interpreted function."""
+    companies = table("entityName string, source_url string", [("Acme Labs", ""), ("Zeta", ""), ("Größe Labs Inc", "")])
+    names = mentions.searched_names(entities.canonical_entities(companies))
+    texts = ["--acme LABS--", "acme", None, "", "?!", "the gr e labs inc, acme labs", "acme  labs\n", "acmelabs acme lab", "KELVIN acme\tlabs"]
+    hits = mentions.longest_mentions(table("text string", [(t,) for t in texts]), names)
+    assert sorted((r["_ord"], r["entityName"]) for r in hits.collect()) == [(0, "Acme Labs"), (5, "Größe Labs Inc"), (6, "Acme Labs"), (8, "Acme Labs")]
+    assert "lambda" not in hits._jdf.queryExecution().optimizedPlan().toString()
