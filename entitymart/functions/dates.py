@@ -23,8 +23,10 @@ ISO = (
 )
 # A day by ISO week, long and compact; the day may be left out.
 WEEK = r"^(\d{4})(?:-W(\d{2})(?:-(\d))?|W(\d{2})(\d)?)(?=$|[T ])"
+# The usual long form, which is cast as it is.
+PLAIN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:Z|[+-]\d{2}:\d{2})?\z"
 MAIL = (
-    r"^(?:[A-Za-z]+,?\s+)?(\d{1,2}\s+[A-Za-z]{3})\s+(\d{4}|\d{2})\s+(\d{1,2}:\d{2}(?::\d{2})?)"
+    r"^(?:[A-Za-z]+,?\s+)?(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4}|\d{2})\s+(\d{1,2}:\d{2}(?::\d{2})?)"
     r"\s*([+-]\d{4}|[A-Za-z]+)?.*$"
 )
 # Unit, stems of its name, and how many of it are taken for an age; the first unit found decides.
@@ -65,6 +67,15 @@ def parse_iso(c: Column) -> Column:
     Compact dates and a comma before the fraction are brought to the long form
     first; the offset is always written out, so the session zone has no say.
     """
+
+    def parsed(c: Column) -> Column:
+        plain = F.when(F.length(c) == 19, F.concat(c, F.lit("Z"))).otherwise(c).try_cast("timestamp")
+        return F.when(c.rlike(r"^\d{4}"), F.when(c.rlike(PLAIN), plain).otherwise(_parse_other_iso(c)))
+
+    return let(c, parsed)
+
+
+def _parse_other_iso(c: Column) -> Column:
     text = F.replace(days_of_weeks(c), F.lit("Z"), F.lit("+00:00"))
     text = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})(?=$|\D)", "$1-$2-$3")
     text = F.regexp_replace(text, r"^(\S{10}.)(\d{2})(\d{2})(\d{2})?(?=$|[.,+-])", "$1$2:$3:$4")
@@ -82,7 +93,7 @@ def parse_iso(c: Column) -> Column:
         full = F.regexp_replace(full, r"^(.{10}[T ]\d{2}:\d{2})(?=[+Z-])", "$1:00")
         return F.when(t.rlike(ISO), full.try_cast("timestamp"))
 
-    return F.when(c.rlike(r"^\d{4}"), let(text, cast))
+    return let(text, cast)
 
 
 def parse_mail(c: Column) -> Column:
@@ -90,15 +101,20 @@ def parse_mail(c: Column) -> Column:
 
     Years of two digits are 1969 to 2068.
     """
-    day, year, *part = [F.regexp_extract(c, MAIL, i) for i in (1, 2, 3, 4)]
-    table = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
-    zone = F.when(part[1].rlike(r"^[+-]"), part[1]).otherwise(
-        F.coalesce(F.try_element_at(table, F.upper(part[1])), F.lit("+0000"))
-    )
-    clock = F.when(F.length(part[0]) <= 5, F.concat(part[0], F.lit(":00"))).otherwise(part[0])
-    year = F.when(F.length(year) == 4, year).otherwise(F.concat(F.when(year > "68", F.lit("19")).otherwise(F.lit("20")), year))
-    text = F.concat_ws(" ", F.regexp_replace(day, r"\s+", " "), year, clock, zone)
-    return F.when(c.rlike(MAIL), F.try_to_timestamp(text, F.lit("d MMM yyyy H:mm:ss Z")))
+
+    def dated(part: Column) -> Column:
+        day, year, clock, zone = [F.get(part, i) for i in range(4)]
+        table = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
+        zone = F.when(F.substring(zone, 1, 1).isin("+", "-"), zone).otherwise(
+            F.coalesce(F.try_element_at(table, F.upper(zone)), F.lit("+0000"))
+        )
+        clock = F.when(F.length(clock) <= 5, F.concat(clock, F.lit(":00"))).otherwise(clock)
+        year = F.when(F.length(year) == 4, year).otherwise(F.concat(F.when(year > "68", F.lit("19")).otherwise(F.lit("20")), year))
+        return F.try_to_timestamp(F.concat_ws(" ", day, year, clock, zone), F.lit("d MMM yyyy H:mm:ss Z"))
+
+    # one match finds all parts
+    parts = F.split(F.regexp_replace(c, MAIL, "$1 $2|$3|$4|$5|"), r"\|")
+    return F.when(c.rlike(MAIL), let(parts, dated))
 
 
 def parse_age(c: Column, as_of: Column) -> Column:

@@ -90,7 +90,8 @@ def board_2_items(payloads: DataFrame, as_of: datetime) -> DataFrame:
     """Source 2: an object with postings under ``jobs``, dated by ``pubDate`` or else ``date``."""
 
     def fields(item: Column) -> dict[str, Column]:
-        when = first_filled(get(item, "pubDate"), get(item, "date"))
+        filled = lambda name: let(get(item, name), lambda v: first_filled(v))
+        when = F.coalesce(filled("pubDate"), filled("date"))
         return {
             "title": get(item, "jobTitle"),
             "company": get(item, "companyName"),

@@ -313,3 +313,24 @@ def test_week_dates_and_short_years(one, raw, want):
 
     at = F.lit("2024-01-30 00:00:00").cast("timestamp")
     assert one(lambda c: F.date_format(dates.parse_date(c, at), "yyyy-MM-dd HH:mm:ss"), raw) == want
+
+
+@pytest.mark.parametrize(
+    ("text", "iso"),
+    [
+        ("2024-01-02T03:04:05", "2024-01-02 03:04:05"), ("2024-01-02T03:04:05Z", "2024-01-02 03:04:05"),
+        ("2024-01-02T03:04:05+05:30", "2024-01-01 21:34:05"), ("2024-01-02T03:04:05.25Z", "2024-01-02 03:04:05.25"),
+        ("2024-02-30T03:04:05Z", None), ("2024-01-02T03:04:05+19:00", None), ("2024-01-02T25:04:05", None),
+        ("Tue, 02  Jan 24 3:04 +0530 (IST)", "2024-01-01 21:34:00"), ("2 Jan 1969 03:04:05 EST", "1969-01-02 08:04:05"),
+        ("Tue, 02 Jan 2024 03:04:05 XYZ", "2024-01-02 03:04:05"), ("Tue, 02 Jan 2024 03:04:05", "2024-01-02 03:04:05"),
+        ("Tue, 02 Jan 2024 03:04:05 GMT | more", "2024-01-02 03:04:05"), ("02 Foo 2024 03:04:05 GMT", None),
+    ],
+)
+def test_dates_in_their_usual_forms(one, text, iso):
+    assert one(lambda c: dates.parse_date(c, F.lit("2024-01-30").cast("timestamp")).cast("string"), text) == iso
+
+
+def test_a_mail_date_is_matched_once(spark):
+    """One match to know it and one that finds all its parts."""
+    plan = spark.createDataFrame([("x",)], "c string").select(dates.parse_mail(F.col("c")).alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(\\d{4}|\\d{2})") <= 2

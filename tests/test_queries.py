@@ -1,8 +1,13 @@
+import glob
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from check import TABLES, rows
+from entitymart.streaming import intake
+from workload import streams
 from workload.inputs import Inputs
 from workload.registry import QUERIES, SQL
 
@@ -76,3 +81,14 @@ def test_inputs_hold_the_hard_cases(spark, sf):
     i = Inputs(spark, sf)
     assert i.startups.filter("trim(entityName) = ''").count() > 0
     assert i.jobs.count() > i.jobs.select("source_url").distinct().count()
+
+
+def test_a_stream_of_landed_files_keeps_all_cores_busy(spark, tmp_path):
+    """As many files a trigger as there are cores, three triggers, every row once."""
+    rows = spark.range(500).select(F.col("id").alias("_ord"), F.lit("x").alias("payload"))
+    stream = streams.landed(rows, f"{tmp_path}/in")
+    cores = spark.sparkContext.defaultParallelism
+    assert len(glob.glob(f"{tmp_path}/in/*.parquet")) >= 3 * cores - 2
+    intake.append_to(stream, f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+    assert len(glob.glob(f"{tmp_path}/state/commits/[0-9]*")) == 3
+    assert sorted(r["_ord"] for r in spark.read.parquet(f"{tmp_path}/out").collect()) == list(range(500))

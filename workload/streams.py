@@ -40,10 +40,14 @@ def st1(i):
     return i.spark.read.parquet(f"{path}/table").select("source_url")
 
 
-def landed(df: DataFrame, path: str, files: int = 6) -> DataFrame:
-    """The rows as several files that a stream takes two at a time, in no order of the rows."""
-    df.repartition(files, F.xxhash64(ORD, F.lit("landed"))).write.parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(path)
+def landed(df: DataFrame, path: str, triggers: int = 3) -> DataFrame:
+    """The rows as several files that a stream takes a third at a time, in no order of the rows.
+
+    There is a file for each core and trigger, two a trigger at least, so a batch keeps the cluster busy.
+    """
+    each = max(2, df.sparkSession.sparkContext.defaultParallelism)
+    df.repartition(triggers * each, F.xxhash64(ORD, F.lit("landed"))).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", each).parquet(path)
 
 
 def last_of(stream: DataFrame, path: str, order: list[str]) -> DataFrame:
