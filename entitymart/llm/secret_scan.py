@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
 from heapq import merge
 
 import pyarrow as pa
@@ -83,14 +84,114 @@ def name_score(name: str) -> float:
     return float(sum(SENSITIVE.get(p, 0) for p in parts) + sum(SENSITIVE.get(p, 0) for p in joined))
 
 
+def key_score(n: int, counts: dict[str, int]) -> float:
+    """How much ``n`` characters, counted, look like key material: length, character classes and entropy."""
+    entropy = -sum(k / n * math.log2(k / n) for k in counts.values())
+    classes = sum(any(map(f, counts)) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
+    return min(n, 32) / 16 + entropy / 2 + 0.5 * (classes - 1) - 1.5
+
+
 def literal_score(value: str) -> float:
-    """How much a literal looks like key material: length, character classes and entropy."""
+    """The score of a literal; none for short ones, placeholders and phrases."""
     if len(value) < 8 or PLACEHOLDER.match(value) or (any(c.isspace() for c in value) and not value.startswith("-----BEGIN ")):
         return -math.inf
-    n = len(value)
-    entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
-    classes = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    return min(n, 32) / 16 + entropy / 2 + 0.5 * (classes - 1) - 1.5
+    return key_score(len(value), Counter(value))
+
+
+class Joined:
+    """A value made of pieces of text and of other such values, none of which is ever written out.
+
+    Held are the count of each character (in units of ``2 ** scale``), in the order of first occurrence, the
+    first ``HEAD`` characters, the last, and which come after the first ones. That tells the score of the whole, however
+    often a value that adds itself to itself doubles.
+    """
+
+    #: Characters kept as they are: more than the longest placeholder that is a word.
+    HEAD = 16
+    #: Counts beyond these bits lose their last ones, far below what a float holds.
+    BITS = 256
+
+    def __init__(self, parts: list[str | Joined]):
+        self.head, self.last, self.rest, self.counts, self.scale = "", "", set(), Counter(), 0
+        pieces, texts = [], []
+        for part in parts:
+            if isinstance(part, str):
+                texts.append(part)
+            else:
+                pieces += ["".join(texts), part]
+                texts = []
+        for part in [*pieces, "".join(texts)]:
+            if isinstance(part, str):
+                self._add(part, part[-1:], part[self.HEAD :], Counter(part), 0)
+            else:
+                self._add(part.head, part.last, part.rest, part.counts, part.scale)
+
+    def _add(self, head: str, last: str, rest: Iterable[str], counts: dict[str, int], scale: int) -> None:
+        if not counts:
+            return
+        room = self.HEAD - len(self.head)
+        self.rest.update(head[room:], rest)
+        self.head, self.last = self.head + head[:room], last
+        if scale == self.scale:
+            self.counts.update(counts)
+        else:
+            most = max(scale, self.scale)
+            for c in self.counts:
+                self.counts[c] = max(1, self.counts[c] >> (most - self.scale))
+            self.counts.update({c: max(1, k >> (most - scale)) for c, k in counts.items()})
+            self.scale = most
+        over = sum(self.counts.values()).bit_length() - self.BITS
+        if over > 0:
+            self.counts = Counter({c: max(1, k >> over) for c, k in self.counts.items()})
+            self.scale += over
+
+    def score(self) -> float:
+        """What ``literal_score`` gives for the whole value."""
+        n = sum(self.counts.values())
+        # a placeholder is told by the first characters, the others that occur, and the last
+        seen = self.head + "".join(sorted(self.rest)) + self.last * bool(self.rest)
+        if n < 8 or PLACEHOLDER.match(seen) or (any(map(str.isspace, self.counts)) and not self.head.startswith("-----BEGIN ")):
+            return -math.inf
+        return key_score(n, self.counts)
+
+
+class Value:
+    """Places in a text that make one value, or values of names among them, shared and not copied."""
+
+    __slots__ = ("parts", "joined", "last")
+
+    def __init__(self, parts: list[tuple[int, int] | Value]):
+        self.parts, self.joined = parts, None
+        #: The last place.
+        self.last: tuple[int, int] = parts[-1].last if isinstance(parts[-1], Value) else parts[-1]
+
+    def score(self, text: str) -> float:
+        """The score of the whole; each value is joined once, those it is made of first."""
+        if not any(isinstance(p, Value) for p in self.parts):
+            return literal_score("".join([text[a:b] for a, b in self.parts]))
+        waiting = [self]
+        while waiting:
+            value = waiting[-1]
+            missing = [p for p in value.parts if isinstance(p, Value) and p.joined is None] if value.joined is None else []
+            if missing:
+                waiting += missing
+                continue
+            waiting.pop()
+            if value.joined is None:
+                value.joined = Joined([p.joined if isinstance(p, Value) else text[p[0] : p[1]] for p in value.parts])
+        return self.joined.score()
+
+
+def places_of(values: list[Value]) -> set[tuple[int, int]]:
+    """All places of the values and of those they are made of."""
+    places, seen, waiting = set(), set(), list(values)
+    while waiting:
+        value = waiting.pop()
+        if id(value) not in seen:
+            seen.add(id(value))
+            for p in value.parts:
+                waiting.append(p) if isinstance(p, Value) else places.add(p)
+    return places
 
 
 def literals(text: str) -> list[tuple[int, int]]:
@@ -142,22 +243,23 @@ def lexed(text: str) -> list[tuple[int, int]]:
     literal, and with names among them, or in fields of an f-string, also the literals those
     names hold; all their places count together. A string before a sign is a name itself.
     """
-    found: set[tuple[int, int]] = set()
-    held: dict[str, list[tuple[int, int]]] = {}
-    # a frame: the name that the next value goes to, the best score around it, and the value so far
+    found: list[Value] = []
+    held: dict[str, Value] = {}
+    # a frame: the name that the next value goes to, the best score around it, and the parts of the value so far
     frames: list[list] = [[None, 0.0, []]]
     called, before = None, None
 
-    def close(frame: list) -> None:
-        name, best, places = frame
-        if places:
+    def close(frame: list) -> Value | None:
+        name, best, parts = frame
+        value = Value(parts) if parts else None
+        if value:
             if name is not None:
-                held[name] = places
+                held[name] = value
             score = max(best, name_score(name) if name else 0.0)
-            value = "".join(text[a:b] for a, b in places)
-            if score >= 2 and score + literal_score(value.strip()) >= LEAST:
-                found.update(places)
+            if score >= 2 and score + value.score(text) >= LEAST:
+                found.append(value)
         frame[0], frame[2] = None, []
+        return value
 
     for m in TOKEN.finditer(text):
         kind, value = m.lastgroup, m[0]
@@ -171,13 +273,12 @@ def lexed(text: str) -> list[tuple[int, int]]:
             b -= len(inner) - len(inner.rstrip())
             before = text[a:b] if b > a else None
             if b > a:
-                frame[2] = [*frame[2], (a, b)] if len(frame[2]) < 64 else frame[2]
+                frame[2].append((a, b))
                 if "{" in inner:
-                    for other in FIELD(inner):
-                        frame[2] = [*frame[2], *held.get(other, [])][:64]
+                    frame[2] += [held[other] for other in FIELD(inner) if other in held]
         elif kind == "name":
-            if value in held and frame[0] is not None and len(frame[2]) < 64:
-                frame[2] = [*frame[2], *held[value]][:64]
+            if value in held and frame[0] is not None:
+                frame[2].append(held[value])
             before = called = value
             continue
         elif kind == "sign":
@@ -189,13 +290,12 @@ def lexed(text: str) -> list[tuple[int, int]]:
             around = max(frame[1], name_score(frame[0]) if frame[0] else 0.0)
             frames.append([None, max(around, name_score(name) if name else 0.0), []])
         elif value in ")]}":
-            inside = frame[2]
-            key = text[inside[-1][0] : inside[-1][1]] if value == "]" and inside else None
-            close(frame)
+            inside = close(frame)
+            key = text[slice(*inside.last)] if value == "]" and inside else None
             if len(frames) > 1:
                 frames.pop()
                 if inside and value == ")" and frames[-1][0] is not None:
-                    frames[-1][2] = [*frames[-1][2], *inside][:64]
+                    frames[-1][2].append(inside)
             before = key
             called = None
             continue
@@ -205,7 +305,7 @@ def lexed(text: str) -> list[tuple[int, int]]:
         called = None
     for frame in frames:
         close(frame)
-    return sorted(found)
+    return sorted(places_of(found))
 
 
 def written_values(text: str) -> list[tuple[int, int]]:
