@@ -26,15 +26,19 @@ def _total() -> Column:
 
 
 def named_counts(relationships: DataFrame, *more: Column) -> DataFrame:
-    """Four counts per entity id and name, and further aggregates.
+    """Four counts per entity id and name, and the greatest of further columns.
 
-    The step holds only numbers, so it hashes and combines map-side.
+    Rows are counted as they are written first, so that names and types are stripped once per
+    spelling; both steps hold only numbers and hash and combine map-side.
     """
-    rows = relationships.filter(is_present(F.col("entityId"))).withColumns(
+    spelled = relationships.groupBy("entityId", "entityName", "relationshipType").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(f"_max_{i}") for i, c in enumerate(more)]
+    )
+    rows = spelled.filter(is_present(F.col("entityId"))).withColumns(
         {"entityId": _stripped("entityId"), "entityName": _stripped("entityName"), "_type": _stripped("relationshipType")}
     )
-    counts = [F.count_if(F.col("_type") == t).alias(n) for n, t in COUNTS.items()]
-    return rows.groupBy("entityId", "entityName").agg(*counts, *more)
+    counts = [F.coalesce(F.sum(F.when(F.col("_type") == t, F.col("_n"))), F.lit(0)).alias(n) for n, t in COUNTS.items()]
+    return rows.groupBy("entityId", "entityName").agg(*counts, *[F.max(f"_max_{i}").alias(f"_max_{i}") for i in range(len(more))])
 
 
 def entity_analytics(relationships: DataFrame) -> DataFrame:
@@ -44,9 +48,9 @@ def entity_analytics(relationships: DataFrame) -> DataFrame:
     entity from which the last name is taken.
     """
     return (
-        named_counts(relationships, F.max(ORD).alias("_seen"))
+        named_counts(relationships, F.col(ORD))
         .groupBy("entityId")
-        .agg(F.max_by("entityName", "_seen").alias("entityName"), *[F.sum(n).alias(n) for n in COUNTS])
+        .agg(F.max_by("entityName", "_max_0").alias("entityName"), *[F.sum(n).alias(n) for n in COUNTS])
         .withColumn("totalRelationships", _total())
     )
 

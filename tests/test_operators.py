@@ -435,3 +435,12 @@ def test_words_are_searched_without_lambdas(table):
     hits = mentions.longest_mentions(table("text string", [(t,) for t in texts]), names)
     assert sorted((r["_ord"], r["entityName"]) for r in hits.collect()) == [(0, "Acme Labs"), (5, "Größe Labs Inc"), (6, "Acme Labs"), (8, "Acme Labs")]
     assert "lambda" not in hits._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_counts_strip_each_spelling_once(table):
+    """Names are stripped after the rows are counted; spellings of one name are one entity."""
+    rows = [(" E1", "A ", "HAS_JOB"), ("E1", "A", " HAS_JOB "), ("E1", "A", "HAS_PRODUCT"), (None, "B", "HAS_JOB"), ("E2", None, "OTHER"), ("E1", "A", None)]
+    counts = analytics.linked_analytics(table("entityId string, entityName string, relationshipType string", rows).drop(ORD))
+    assert values(counts, "entityId", "entityName", "jobCount", "productCount", "totalRelationships") == [("E1", "A", 2, 1, 3), ("E2", "", 0, 0, 0)]
+    plan = counts._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert sum("Aggregate [" in line for line in plan) == 2
