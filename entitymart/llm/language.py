@@ -23,6 +23,8 @@ REMEMBERED = 300_000
 GIVEN = 3
 #: Texts scored together, in characters.
 CHUNK = 1 << 20
+#: Rows whose texts are read from a batch together.
+ROWS = 256
 
 
 def held_out(doc_id: Column) -> Column:
@@ -42,7 +44,8 @@ class Model:
     languages: list[str]
     rows: dict[int, dict[str, int]]
     scores: np.ndarray
-    unseen: np.ndarray | None = None
+    #: Which languages each entry was seen in: those where its log frequency is above that of an unseen one.
+    own: np.ndarray | None = None
 
     def of_word(self, word: str) -> np.ndarray:
         """Scores of one word: its own if known, else the mean over the longest known character runs."""
@@ -124,7 +127,7 @@ def fit(documents: DataFrame, rows_per_language: int = 1000, entries: int = 400_
         unseen.append(np.broadcast_to(np.log(0.5 / (all_ + 0.5 * max(1, len(seen)))), scores[-1].shape))
         rows_of[n] = {gram: first + k for gram, k in rows_of[n].items()}
         first += len(seen)
-    return Model(languages, rows_of, np.concatenate(scores), np.concatenate(unseen)) if languages else Model(languages, rows_of, np.zeros((0, 0)))
+    return Model(languages, rows_of, np.concatenate(scores), np.concatenate(scores) > np.concatenate(unseen)) if languages else Model(languages, rows_of, np.zeros((0, 0)))
 
 
 def scored(model: Model, texts: list[str], known: dict[str, int], table: list[np.ndarray], own: np.ndarray | None = None) -> tuple[list[str], list[float], list[float]]:
@@ -172,25 +175,26 @@ def identify(documents: DataFrame, model: Model, known: str | None = None) -> Da
     place, names = schema.names.index("text"), schema.names
 
     def predict(batches):
-        # A language has a word if it was seen there: its log frequency is above that of an unseen word.
-        own = shared.value.scores > shared.value.unseen if more and shared.value.languages else None
+        own = shared.value.own if more and shared.value.languages else None
         known: dict[str, int] = {}
         table: list[np.ndarray] = []
         for batch in batches:
-            texts = [t or "" for t in batch.column(place).to_pylist()]
             languages: list[str] = []
             scores: list[float] = []
             shares: list[float] = []
-            first = 0
-            while first < len(texts):
-                last, size = first, 0
-                while last < len(texts) and (last == first or size + len(texts[last]) <= CHUNK):
-                    size += len(texts[last])
-                    last += 1
-                found = scored(shared.value, texts[first:last], known, table, own)
-                for all_, part in zip((languages, scores, shares), found, strict=True):
-                    all_ += part
-                first = last
+            # only a part of a batch's texts is held as Python text at a time
+            for start in range(0, len(batch), ROWS):
+                texts = [t or "" for t in batch.column(place).slice(start, ROWS).to_pylist()]
+                first = 0
+                while first < len(texts):
+                    last, size = first, 0
+                    while last < len(texts) and (last == first or size + len(texts[last]) <= CHUNK):
+                        size += len(texts[last])
+                        last += 1
+                    found = scored(shared.value, texts[first:last], known, table, own)
+                    for all_, part in zip((languages, scores, shares), found, strict=True):
+                        all_ += part
+                    first = last
             new = [pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(shares, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new[: 2 + len(more)]], names)
 
